@@ -290,6 +290,12 @@ def apply_cooldown(df: DataFrame, t: str, keys: list[str], minutes: float) -> Da
 _TIME = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 
 
+def _fixed(value: Column, places: int) -> Column:
+    """Decimal text with ties to even, as in ``12.25 -> 12.2``; NULL stays NULL."""
+    text = F.format_string(f"%.{places}f", F.bround(value, places))
+    return F.when(value.isNotNull(), text)
+
+
 def _lines(items: Column, line) -> Column:
     return F.array_join(F.transform(items, line), "\n")
 
@@ -297,12 +303,15 @@ def _lines(items: Column, line) -> Column:
 def format_alert(df: DataFrame, config: dict | None = None, t: str = "window_end") -> DataFrame:
     """Add the ``message`` of each advanced alert.  The wording is a fixed value."""
     config = {**ADVANCED_CONFIG, **(config or {})}
-    region_line = lambda r: F.when(
-        r.z_score.isNull(), F.format_string("- %s: %d events (z=nan)", r.region, r.events)
-    ).otherwise(F.format_string("- %s: %d events (z=%.2f)", r.region, r.events, r.z_score))
-    mix_line = lambda m: F.format_string(
-        "- %s: %.1f%%", F.coalesce(m.severity, F.lit("None")), m.percentage
-    )
+
+    def region_line(r: Column) -> Column:
+        score = F.coalesce(_fixed(r.z_score, 2), F.lit("nan"))
+        return F.format_string("- %s: %d events (z=%s)", r.region, r.events, score)
+
+    def mix_line(m: Column) -> Column:
+        name = F.coalesce(m.severity, F.lit("None"))
+        return F.format_string("- %s: %s%%", name, _fixed(m.percentage, 1))
+
     mix = F.when(
         F.size("mix") > 0,
         F.concat_ws("\n", F.lit("Severity mix in lookback window:"), _lines(F.col("mix"), mix_line)),
@@ -362,7 +371,8 @@ def format_share_alert(
             F.lit("[Basic Alert] High severe case share detected"),
             F.concat(F.lit("Time: "), F.date_format(t, _TIME)),
             F.format_string(
-                f"Severe share: %.1f%% (threshold={threshold:.1f}%%)", F.col("percentage")
+                f"Severe share: %s%% (threshold={threshold:.1f}%%)",
+                _fixed(F.col("percentage"), 1),
             ),
         ),
     )

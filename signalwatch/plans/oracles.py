@@ -405,12 +405,12 @@ select region, bucket, event_count,
     range between interval '23 hours' preceding and current row) as bigint) as events_24h
 from hourly_region""",
     "lag_features": """
-select day_of_week, hour_of_day, event_count, lag(event_count, 1) over w as event_count_lag_1,
-  lag(event_count, 2) over w as event_count_lag_2, lag(event_count, 3) over w as event_count_lag_3
+select day_of_week, hour_of_day, event_count, cast(lag(event_count, 1) over w as double) as event_count_lag_1,
+  cast(lag(event_count, 2) over w as double) as event_count_lag_2, cast(lag(event_count, 3) over w as double) as event_count_lag_3
 from patterns window w as (order by day_of_week, hour_of_day)""",
     "hourly_lag_features": """
-select region, bucket, event_count, lag(event_count, 1) over w as event_count_lag_1,
-  lag(event_count, 2) over w as event_count_lag_2, lag(event_count, 3) over w as event_count_lag_3
+select region, bucket, event_count, cast(lag(event_count, 1) over w as double) as event_count_lag_1,
+  cast(lag(event_count, 2) over w as double) as event_count_lag_2, cast(lag(event_count, 3) over w as double) as event_count_lag_3
 from hourly_region window w as (partition by region order by bucket)""",
     "sustained_deviation": """
 select region, window_start, window_end, event_count from (
@@ -505,7 +505,7 @@ where d.z_score >= 0.5 and d.event_count >= 50 and q.rate >= 25""",
     "dq_row_flags": f"select event_id, {', '.join(_FLAG_NAMES)} from flags",
     "dq_metrics": f"select {_FLAG_SUMS} from flags",
     "dq_metrics_by_day": f"""
-select cast(event_timestamp as date) as day, {_FLAG_SUMS}, {_r(_FAILURE_RATE)} as failure_rate
+select date_trunc('day', event_timestamp) as day, {_FLAG_SUMS}, {_r(_FAILURE_RATE)} as failure_rate
 from flags group by 1""",
     "dq_rollup": f"""
 select count(*) as total_records, cast(sum(nulls) as bigint) as null_failures,

@@ -361,10 +361,20 @@ def rolling_24h(spark, sf_dir):
     )
 
 
+def _lags_as_double(df):
+    """Counts that may be missing as doubles, which both engines hand out the same way."""
+    return df.withColumns(
+        {c: F.col(c).cast("double") for c in df.columns if c.startswith("event_count_lag")}
+    )
+
+
 @query
 def lag_features(spark, sf_dir):
-    return timeseries.with_lags(
-        _pattern_counts(spark, sf_dir), ["day_of_week", "hour_of_day"], "event_count", [1, 2, 3]
+    return _lags_as_double(
+        timeseries.with_lags(
+            _pattern_counts(spark, sf_dir), ["day_of_week", "hour_of_day"], "event_count",
+            [1, 2, 3],
+        )
     )
 
 
@@ -373,7 +383,9 @@ def hourly_lag_features(spark, sf_dir):
     hourly = timeseries.bucket_counts(
         _symptoms(spark, sf_dir), T, "1 hour", ["region"], fill=False
     )
-    return timeseries.with_lags(hourly, ["bucket"], "event_count", [1, 2, 3], ["region"])
+    return _lags_as_double(
+        timeseries.with_lags(hourly, ["bucket"], "event_count", [1, 2, 3], ["region"])
+    )
 
 
 @query
@@ -523,7 +535,8 @@ def dq_metrics(spark, sf_dir):
 
 @query
 def dq_metrics_by_day(spark, sf_dir):
-    return quality.dq_by_day(quality.validate(_dq(spark, sf_dir)), T)
+    daily = quality.dq_by_day(quality.validate(_dq(spark, sf_dir)), T)
+    return daily.withColumn("day", F.col("day").cast("timestamp"))
 
 
 @query

@@ -1,18 +1,17 @@
 """Event schemas and table column lists.
 
-Every field is nullable and no schema is ever inferred.  Field names, types and table names in this
-file are fixed values: they are the wire and table formats that producers and dashboards already use.
+Schemas are DDL texts; every field is nullable and no schema is ever inferred.  Field names, types and
+table names in this file are fixed values: they are the wire and table formats that producers and
+dashboards already use.
 """
 
-from pyspark.sql.types import StructType
-
-SYMPTOM_REPORT = StructType.fromDDL(
+SYMPTOM_REPORT = (
     "event_id string, event_type string, timestamp string, patient_id string, age int, "
     "gender string, region string, symptoms string, severity string, team_id string, "
     "processing_timestamp string, event_source string"
 )
 
-ENVIRONMENTAL_CONDITIONS = StructType.fromDDL(
+ENVIRONMENTAL_CONDITIONS = (
     "event_type string, timestamp string, region string, station_id string, "
     "temperature_f double, humidity_percent int, air_quality_index int, pollen_count int, "
     "uv_index int, wind_speed_mph double, processing_timestamp string, event_source string, "
@@ -20,9 +19,7 @@ ENVIRONMENTAL_CONDITIONS = StructType.fromDDL(
 )
 
 # The columns the data-quality rules look at.
-DQ_INPUT = StructType.fromDDL(
-    "temperature double, humidity double, symptom_count int, region string"
-)
+DQ_INPUT = "temperature double, humidity double, symptom_count int, region string"
 
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 PROCESSING_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
