@@ -26,7 +26,7 @@ _REGION = (
 _DIRTY_REGION = (
     f"case when event_id % 97 = 0 then null when event_id % 89 = 0 then 'XX' else {_REGION} end"
 )
-_K = "cast(get_json_object(props, '$.k') as int)"
+_K = "cast(get_json_object(props, '$.k') as int) as k"
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -55,13 +55,13 @@ def symptom_reports(source: DataFrame) -> DataFrame:
 
 
 def environmental_conditions(source: DataFrame) -> DataFrame:
-    return source.selectExpr(
+    return source.selectExpr("*", _K).selectExpr(
         "'environmental_conditions' as event_type",
         "ts as event_timestamp",
         f"{_REGION} as region",
         "concat('ST', cast(user_id % 10 as string)) as station_id",
         "value as temperature_f",
-        f"{_K} as humidity_percent",
+        "k as humidity_percent",
         "cast((event_id * 7) % 300 as int) as air_quality_index",
         "cast((event_id * 3) % 120 as int) as pollen_count",
         "case when event_id % 43 = 0 then null else cast(event_id % 12 as int) end as uv_index",
@@ -70,13 +70,13 @@ def environmental_conditions(source: DataFrame) -> DataFrame:
 
 
 def dq_events(source: DataFrame) -> DataFrame:
-    return source.selectExpr(
+    return source.selectExpr("*", _K).selectExpr(
         "event_id",
         "ts as event_timestamp",
         "case when event_id % 53 = 0 then null "
         "when event_id % 59 = 0 then double('NaN') else value end as temperature",
-        f"case when event_id % 61 = 0 then null else {_K} * 1.05D end as humidity",
-        f"{_K} - 2 as symptom_count",
+        "case when event_id % 61 = 0 then null else k * 1.05D end as humidity",
+        "k - 2 as symptom_count",
         f"{_DIRTY_REGION} as region",
     )
 

@@ -143,9 +143,9 @@ def baseline_predictions(
     comparison.
     """
     if kind == "lagged":
-        scored = lagged_mean(df, order, target, k, by, "event_count_pred")
+        scored = lagged_mean(df, order, target, k, by, name="event_count_pred")
     elif kind == "trailing_inclusive":
-        scored = trailing_mean(df, order, target, k, by, "event_count_pred")
+        scored = trailing_mean(df, order, target, k, by, name="event_count_pred")
     else:
         raise ValueError(f"unknown baseline: {kind}")
     return scored.withColumnRenamed(target, "event_count_true")

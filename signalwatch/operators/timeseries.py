@@ -36,7 +36,9 @@ def bucket_counts(
     """Events (or a sum) per bucket and key, with zeros between a key's first and last bucket.
 
     The zero rows come from each key's bounds: first one row per 4096 buckets, then the buckets, so
-    that a long series is generated by many tasks.  Real and zero rows meet in one aggregation.
+    that a long series is generated by many tasks.  Real and zero rows meet in one aggregation.  Asking
+    for a count next to the bounds keeps both uses of the counts on one shuffle; bounds alone would
+    prune the counts away and read the events a second time.
     """
     step = 4096
     total = F.count("*") if value is None else F.sum(value)
@@ -49,8 +51,11 @@ def bucket_counts(
         first, last = F.col("_first"), F.col("_last")
         stretches = (
             counts.groupBy(*by)
-            .agg(F.min("_n").alias("_first"), F.max("_n").alias("_last"))
-            .where(first.isNotNull())
+            .agg(
+                F.min("_n").alias("_first"), F.max("_n").alias("_last"),
+                F.max("event_count").alias("_most"),
+            )
+            .where(F.col("_most").isNotNull())
             .select(*by, "_last", F.explode(F.sequence(first, last, F.lit(step))).alias("_from"))
             .repartition(*by, "_from")
         )
@@ -97,53 +102,89 @@ def sliding_counts(
     )
 
 
-def trailing_mean(
-    df: DataFrame, order: list[str], value: str, rows: int, by: list[str] = (),
-    name: str = "trailing_mean",
+def sliding_counts_by_each(
+    df: DataFrame, t: str, width: str, slide: str, keys: list[str]
+) -> list[DataFrame]:
+    """``sliding_counts`` by each of several keys, from one pass over the events."""
+    per_slide = bucket_counts(df, t, slide, keys, fill=False)
+    return [
+        sliding_counts(per_slide, "bucket", width, slide, [key], "event_count") for key in keys
+    ]
+
+
+def _positioned(
+    df: DataFrame, order: list[str], by: list[str], width: str | None
 ) -> DataFrame:
-    """Mean of the last ``rows`` rows including the current one, fewer at the start."""
-    return trailing(
-        number_rows(df, order, by), "_pos", rows - 1, list(by),
-        {name: lambda w: F.avg(value).over(w.rowsBetween(-(rows - 1), 0))},
-    ).drop("_pos")
+    """Add ``_pos``, the place of each row in its key's series.
+
+    With ``width`` the first order column is a bucket time and its bucket number is the place, so
+    frames count buckets, present or not; this needs no shuffle.  Without, rows are numbered in order
+    and frames count rows.  Places are unique per key, so a frame over a range of places does for both.
+    """
+    if width is None:
+        return number_rows(df, order, by)
+    return df.withColumn("_pos", bucket_number(order[0], width))
 
 
-def bucket_trailing_mean(
-    df: DataFrame, t: str, value: str, width: str, rows: int, by: list[str] = (),
-    name: str = "trailing_mean",
+def trailing_mean(
+    df: DataFrame, order: list[str], value: str, rows: int, by: list[str] = (),
+    width: str | None = None, name: str = "trailing_mean",
 ) -> DataFrame:
-    """``trailing_mean`` of a filled bucket series, whose time axis needs no numbering."""
+    """Mean of the last ``rows`` places including the current one, fewer at the start."""
     return trailing(
-        df.withColumn("_pos", bucket_number(t, width)), "_pos", rows - 1, list(by),
+        _positioned(df, order, by, width), "_pos", rows - 1, list(by),
         {name: lambda w: F.avg(value).over(w.rangeBetween(-(rows - 1), 0))},
     ).drop("_pos")
 
 
 def lagged_mean(
     df: DataFrame, order: list[str], value: str, k: int, by: list[str] = (),
-    name: str = "lagged_mean",
+    width: str | None = None, name: str = "lagged_mean",
 ) -> DataFrame:
-    """Mean of the ``k`` rows before the current one; the first ``k`` rows are dropped."""
+    """Mean of the ``k`` places before the current one; rows without ``k`` before them are dropped."""
     return (
         trailing(
-            number_rows(df, order, by), "_pos", k, list(by),
-            {name: lambda w: F.avg(value).over(w.rowsBetween(-k, -1))},
+            _positioned(df, order, by, width), "_pos", k, list(by),
+            {
+                name: lambda w: F.avg(value).over(w.rangeBetween(-k, -1)),
+                "_seen": lambda w: F.count("*").over(w.rangeBetween(-k, -1)),
+            },
         )
-        .where(F.col("_pos") > k)
-        .drop("_pos")
+        .where(F.col("_seen") == k)
+        .drop("_pos", "_seen")
     )
 
 
 def with_lags(
-    df: DataFrame, order: list[str], value: str, lags: list[int], by: list[str] = ()
+    df: DataFrame, order: list[str], value: str, lags: list[int], by: list[str] = (),
+    width: str | None = None,
 ) -> DataFrame:
-    """Add ``<value>_lag_<i>``: the value ``i`` rows earlier, NULL where there is none."""
+    """Add ``<value>_lag_<i>``: the value ``i`` places earlier, NULL where there is none."""
     return trailing(
-        number_rows(df, order, by), "_pos", max(lags), list(by),
-        {f"{value}_lag_{i}": lambda w, i=i: F.lag(value, i).over(w) for i in lags},
+        _positioned(df, order, by, width), "_pos", max(lags), list(by),
+        {
+            f"{value}_lag_{i}": lambda w, i=i: F.max(value).over(w.rangeBetween(-i, -i))
+            for i in lags
+        },
     ).drop("_pos")
 
 
+def sustained(
+    df: DataFrame, order: list[str], value: str, threshold: float, k: int, by: list[str] = (),
+    width: str | None = None,
+) -> DataFrame:
+    """Rows that end a run of ``k`` places in a row at or above the threshold."""
+    reached = F.when(F.col(value) >= threshold, 1).otherwise(0)
+    return (
+        trailing(
+            _positioned(df, order, by, width).withColumn("_hit", reached), "_pos", k - 1, list(by),
+            {"_run": lambda w: F.sum("_hit").over(w.rangeBetween(-(k - 1), 0))},
+        )
+        .where(F.col("_run") == k)
+        .drop("_pos", "_hit", "_run")
+    )
+
+
 def baseline_ratio(
     df: DataFrame, t: str, value: str, width: str, short: int, long: int, by: list[str] = ()
 ) -> DataFrame:
@@ -169,21 +210,6 @@ def rolling_sum(
     ).drop("_pos")
 
 
-def sustained(
-    df: DataFrame, order: list[str], value: str, threshold: float, k: int, by: list[str] = ()
-) -> DataFrame:
-    """Rows that end a run of ``k`` rows in a row at or above the threshold."""
-    reached = F.when(F.col(value) >= threshold, 1).otherwise(0)
-    return (
-        trailing(
-            number_rows(df, order, by).withColumn("_hit", reached), "_pos", k - 1, list(by),
-            {"_run": lambda w: F.sum("_hit").over(w.rowsBetween(-(k - 1), 0))},
-        )
-        .where(F.col("_run") == k)
-        .drop("_pos", "_hit", "_run")
-    )
-
-
 def anomaly_overlay(
     series: DataFrame, anomalies: DataFrame, t: str, value: str, factor: float = 1.05
 ) -> DataFrame:

@@ -83,6 +83,12 @@ from symptoms group by 1""",
     "hourly_region": """
 select region, date_trunc('hour', event_timestamp) as bucket, count(*) as event_count
 from symptoms group by 1, 2""",
+    "hourly_filled": """
+select s.region, s.bucket, cast(coalesce(h.event_count, 0) as bigint) as event_count
+from (select region, unnest(generate_series(min(bucket), max(bucket), interval '1 hour')) as bucket
+      from hourly_region group by region) s
+left join hourly_region h
+  on h.region is not distinct from s.region and h.bucket = s.bucket""",
     "windows": """
 select region, bucket - interval '23 hours' as window_start,
   bucket + interval '1 hour' as window_end,
@@ -392,30 +398,29 @@ from (
       rows between 5 preceding and current row) as short_mean,
     avg(event_count) over (partition by region order by bucket
       rows between 23 preceding and current row) as long_mean
-  from (
-    select s.region, s.bucket, cast(coalesce(h.event_count, 0) as bigint) as event_count
-    from (select region, unnest(generate_series(min(bucket), max(bucket), interval '1 hour'))
-            as bucket
-          from hourly_region group by region) s
-    left join hourly_region h
-      on h.region is not distinct from s.region and h.bucket = s.bucket) f) t""",
+  from hourly_filled) t""",
     "rolling_24h": """
 select region, bucket, event_count,
   cast(sum(event_count) over (partition by region order by bucket
     range between interval '23 hours' preceding and current row) as bigint) as events_24h
 from hourly_region""",
     "lag_features": """
-select day_of_week, hour_of_day, event_count, cast(lag(event_count, 1) over w as double) as event_count_lag_1,
-  cast(lag(event_count, 2) over w as double) as event_count_lag_2, cast(lag(event_count, 3) over w as double) as event_count_lag_3
+select day_of_week, hour_of_day, event_count,
+  cast(lag(event_count, 1) over w as double) as event_count_lag_1,
+  cast(lag(event_count, 2) over w as double) as event_count_lag_2,
+  cast(lag(event_count, 3) over w as double) as event_count_lag_3
 from patterns window w as (order by day_of_week, hour_of_day)""",
     "hourly_lag_features": """
-select region, bucket, event_count, cast(lag(event_count, 1) over w as double) as event_count_lag_1,
-  cast(lag(event_count, 2) over w as double) as event_count_lag_2, cast(lag(event_count, 3) over w as double) as event_count_lag_3
-from hourly_region window w as (partition by region order by bucket)""",
+select region, bucket, event_count,
+  cast(lag(event_count, 1) over w as double) as event_count_lag_1,
+  cast(lag(event_count, 2) over w as double) as event_count_lag_2,
+  cast(lag(event_count, 3) over w as double) as event_count_lag_3
+from hourly_filled window w as (partition by region order by bucket)""",
     "sustained_deviation": """
 select region, window_start, window_end, event_count from (
   select *, sum(case when event_count >= 100 then 1 else 0 end) over (
-    partition by region order by window_end rows between 2 preceding and current row) as hits
+    partition by region order by window_end
+    range between interval '2 hours' preceding and current row) as hits
   from windows) t
 where hits = 3""",
     "region_timeline": """

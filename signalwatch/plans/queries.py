@@ -59,6 +59,11 @@ def _patterns(spark, sf_dir):
     return analytics.temporal_patterns(_symptoms(spark, sf_dir))
 
 
+def _patterns_table(spark, sf_dir):
+    """The same as a stored table, for queries that use it more than once."""
+    return sinks.feature_table(_patterns(spark, sf_dir), "temporal_patterns")
+
+
 def _pattern_counts(spark, sf_dir):
     return _patterns(spark, sf_dir).select("day_of_week", "hour_of_day", "event_count")
 
@@ -306,8 +311,8 @@ def bucket_5min_filled(spark, sf_dir):
 
 @query
 def rolling_30min(spark, sf_dir):
-    return timeseries.bucket_trailing_mean(
-        bucket_5min_filled(spark, sf_dir), "bucket", "event_count", "5 minutes", 6,
+    return timeseries.trailing_mean(
+        bucket_5min_filled(spark, sf_dir), ["bucket"], "event_count", 6, width="5 minutes",
         name="rolling_30min",
     )
 
@@ -380,18 +385,18 @@ def lag_features(spark, sf_dir):
 
 @query
 def hourly_lag_features(spark, sf_dir):
-    hourly = timeseries.bucket_counts(
-        _symptoms(spark, sf_dir), T, "1 hour", ["region"], fill=False
-    )
+    hourly = timeseries.bucket_counts(_symptoms(spark, sf_dir), T, "1 hour", ["region"])
     return _lags_as_double(
-        timeseries.with_lags(hourly, ["bucket"], "event_count", [1, 2, 3], ["region"])
+        timeseries.with_lags(
+            hourly, ["bucket"], "event_count", [1, 2, 3], ["region"], "1 hour"
+        )
     )
 
 
 @query
 def sustained_deviation(spark, sf_dir):
     return timeseries.sustained(
-        _daily_windows(spark, sf_dir), ["window_end"], "event_count", 100, 3, ["region"]
+        _daily_windows(spark, sf_dir), ["window_end"], "event_count", 100, 3, ["region"], "1 hour"
     )
 
 
@@ -407,9 +412,10 @@ def region_timeline(spark, sf_dir):
 
 @query
 def zscore_anomalies(spark, sf_dir):
-    return anomaly.zscore_anomalies(
-        analytics.symptom_by_region(_symptoms(spark, sf_dir)), "event_count", threshold=1.2
+    table = sinks.feature_table(
+        analytics.symptom_by_region(_symptoms(spark, sf_dir)), "symptom_by_region"
     )
+    return anomaly.zscore_anomalies(table, "event_count", threshold=1.2)
 
 
 def _hourly(spark, sf_dir, by=()):
@@ -457,10 +463,12 @@ def alert_top_regions(spark, sf_dir):
 
 
 def _advanced(spark, sf_dir):
-    mix = timeseries.sliding_counts(
-        _symptoms(spark, sf_dir), T, "24 hours", "1 hour", ["severity"]
+    return alerts.advanced_alerts(
+        *timeseries.sliding_counts_by_each(
+            _symptoms(spark, sf_dir), T, "24 hours", "1 hour", ["region", "severity"]
+        ),
+        CONFIG,
     )
-    return alerts.advanced_alerts(_daily_windows(spark, sf_dir), mix, CONFIG)
 
 
 @query
@@ -503,7 +511,8 @@ def alert_messages_basic(spark, sf_dir):
 
 @query
 def alert_multi_metric(spark, sf_dir):
-    daily = timeseries.tumbling_counts(_symptoms(spark, sf_dir), T, "1 day", ["region"])
+    known = projections.not_null(_symptoms(spark, sf_dir), ["region"])
+    daily = timeseries.tumbling_counts(known, T, "1 day", ["region"])
     strength = anomaly.with_zscore(daily, "event_count", ["region"])
     flagged = quality.validate(_dq(spark, sf_dir)).withColumn(
         "window_start", F.window(T, "1 day").start
@@ -565,26 +574,28 @@ def forecast_features(spark, sf_dir):
 
 @query
 def forecast_split(spark, sf_dir):
-    train, test = forecast.split_by_key(_pattern_counts(spark, sf_dir))
+    train, test = forecast.split_by_key(_patterns_table(spark, sf_dir).drop(
+        "unique_patients", "patient_rows"
+    ))
     return train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
 
 
-def _fit(spark, sf_dir, kind, features):
-    train, test = forecast.split_by_key(forecast.forecast_features(_patterns(spark, sf_dir)))
+def _fit(patterns, kind, features):
+    train, test = forecast.split_by_key(forecast.forecast_features(patterns))
     return forecast.fit_forecast(train, kind, features), test
 
 
 def _scored(spark, sf_dir, kind, features):
-    model, test = _fit(spark, sf_dir, kind, features)
+    model, test = _fit(_patterns_table(spark, sf_dir), kind, features)
     when = F.lit("2025-01-01 00:00:00").cast("timestamp")
     return forecast.predictions(model, test, f"run_{kind}", when)
 
 
 @query
 def forecast_linear2(spark, sf_dir):
-    model, test = _fit(spark, sf_dir, "linear", forecast.FEATURES_2)
+    model, test = _fit(_patterns_table(spark, sf_dir), "linear", forecast.FEATURES_2)
     (by_day, by_hour), intercept = forecast.linear_terms(model)
     return forecast.regression_metrics(forecast.predict(model, test)).select(
         F.lit(by_day).alias("coef_day"), F.lit(by_hour).alias("coef_hour"),
@@ -626,8 +637,9 @@ def forecast_metrics(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    counts = _pattern_counts(spark, sf_dir)
-    model, test = _fit(spark, sf_dir, "linear", forecast.FEATURES_2)
+    patterns = _patterns_table(spark, sf_dir)
+    counts = patterns.select("day_of_week", "hour_of_day", "event_count")
+    model, test = _fit(patterns, "linear", forecast.FEATURES_2)
 
     def held_out(scored):
         return forecast.regression_metrics(forecast.split_by_key(scored)[1])
@@ -688,7 +700,8 @@ def model_metric_trend(spark, sf_dir):
 
 @query
 def model_drift(spark, sf_dir):
-    return forecast.model_drift(_weekly_runs(spark, sf_dir).drop("mae"), "run")
+    runs = sinks.feature_table(_weekly_runs(spark, sf_dir).drop("mae"), "model_comparison")
+    return forecast.model_drift(runs, "run")
 
 
 @query
@@ -699,10 +712,9 @@ def anomaly_strength(spark, sf_dir):
 
 @query
 def top_anomalous_regions(spark, sf_dir):
-    scored = anomaly.with_zscore(
-        _hourly(spark, sf_dir, ["region"]), "event_count", ["region"]
-    )
-    return monitoring.top_anomalous(scored)
+    known = projections.not_null(_symptoms(spark, sf_dir), ["region"])
+    hourly = timeseries.bucket_counts(known, T, "1 hour", ["region"], fill=False)
+    return monitoring.top_anomalous(anomaly.with_zscore(hourly, "event_count", ["region"]))
 
 
 @query

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalwatch.session import run_dir
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -62,6 +64,17 @@ def jdbc_snapshot_sink(options: dict[str, str]) -> BatchSink:
     return write
 
 
+def feature_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a feature table into the shared folder and read it back.
+
+    For tables that several steps use: the events behind them are then read once, and a lost executor
+    does not cause them to be read again.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- history -------------------------------------------------------------------------------------
 
 

@@ -125,8 +125,7 @@ def run_advanced_alerts(
     width = f"{config['lookback_minutes']} minutes"
     slide = f"{config['poll_interval_seconds']} seconds"
     found = alerts.advanced_alerts(
-        timeseries.sliding_counts(events, t, width, slide, ["region"]),
-        timeseries.sliding_counts(events, t, width, slide, ["severity"]),
+        *timeseries.sliding_counts_by_each(events, t, width, slide, ["region", "severity"]),
         config, min_level,
     )
     fired = alerts.apply_cooldown(found, "window_end", list(keys), config["cooldown_minutes"])
