@@ -40,12 +40,15 @@ def volume_alerts(
 
 def share_alerts(
     df: DataFrame, t: str, width: str, category: str = "severe",
-    threshold: float = SEVERE_SHARE_THRESHOLD, col: str = "severity",
+    threshold: float = SEVERE_SHARE_THRESHOLD, col: str = "severity", value: str | None = None,
 ) -> DataFrame:
-    """Windows in which at least ``threshold`` percent of the events are of one category."""
+    """Windows in which at least ``threshold`` percent of the events are of one category.
+
+    ``df`` has one row per event, or counts of events in ``value``.
+    """
     shares = category_share(
         df.where(F.col(t).isNotNull()).withColumn("window_start", F.window(t, width).start),
-        col, category, ["window_start"],
+        col, category, ["window_start"], value,
     )
     return at_least(shares, "percentage", threshold)
 
@@ -172,8 +175,8 @@ def apply_cooldown(df: DataFrame, t: str, keys: list[str], minutes: float) -> Da
     before it.  The chain is followed in three steps, so that no key is ever gathered as a whole:
 
     1. Time is cut into blocks.  An alert of an earlier block can only silence the start of a block,
-       shorter than one cooldown.  For each alert that may thus be the block's first to fire, the
-       block works out when the key is ready again after its last one.
+       shorter than one cooldown.  For each alert that may thus be the first of the block to fire,
+       the block works out when the key is ready again after its last one.
     2. Per key, these answers are chained from block to block, giving the time at which each block
        starts to be ready.
     3. Each block marks its alerts from that time on.

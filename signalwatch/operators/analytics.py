@@ -112,12 +112,13 @@ def severity_share(
 
 
 def category_share(
-    df: DataFrame, col: str, value: str, by: list[str] = (), name: str = "percentage"
+    df: DataFrame, col: str, category: str, by: list[str] = (), value: str | None = None
 ) -> DataFrame:
-    """Share of rows whose category has the given value, 0.0 where there is none."""
-    hits = F.sum(F.when(F.col(col) == value, 1.0).otherwise(0.0))
-    share = F.coalesce(F.try_divide(100.0 * hits, F.count("*")), F.lit(0.0))
-    return df.groupBy(*by).agg(share.alias(name))
+    """Share of rows (or of a summed value) in one category, 0.0 where there is none."""
+    weight = F.lit(1) if value is None else F.col(value)
+    hits = F.sum(F.when(F.col(col) == category, weight).otherwise(0))
+    share = F.coalesce(F.try_divide(100.0 * hits, F.sum(weight)), F.lit(0.0))
+    return df.groupBy(*by).agg(share.alias("percentage"))
 
 
 def pivot_counts(

@@ -36,7 +36,7 @@ def bucket_counts(
     """Events (or a sum) per bucket and key, with zeros between a key's first and last bucket.
 
     The zero rows come from each key's bounds: first one row per 4096 buckets, then the buckets, so
-    that a long series is generated by many tasks.  Real and zero rows meet in one aggregation.  Asking
+    that many tasks generate a long series.  Real and zero rows meet in one aggregation.  Asking
     for a count next to the bounds keeps both uses of the counts on one shuffle; bounds alone would
     prune the counts away and read the events a second time.
     """
@@ -102,16 +102,6 @@ def sliding_counts(
     )
 
 
-def sliding_counts_by_each(
-    df: DataFrame, t: str, width: str, slide: str, keys: list[str]
-) -> list[DataFrame]:
-    """``sliding_counts`` by each of several keys, from one pass over the events."""
-    per_slide = bucket_counts(df, t, slide, keys, fill=False)
-    return [
-        sliding_counts(per_slide, "bucket", width, slide, [key], "event_count") for key in keys
-    ]
-
-
 def _positioned(
     df: DataFrame, order: list[str], by: list[str], width: str | None
 ) -> DataFrame:
@@ -141,7 +131,7 @@ def lagged_mean(
     df: DataFrame, order: list[str], value: str, k: int, by: list[str] = (),
     width: str | None = None, name: str = "lagged_mean",
 ) -> DataFrame:
-    """Mean of the ``k`` places before the current one; rows without ``k`` before them are dropped."""
+    """Mean of the ``k`` places before the current one; rows with fewer before them are dropped."""
     return (
         trailing(
             _positioned(df, order, by, width), "_pos", k, list(by),

@@ -462,11 +462,25 @@ def alert_top_regions(spark, sf_dir):
     return alerts.top_regions(hot, CONFIG["top_n_regions"])
 
 
+def _hourly_table(spark, sf_dir):
+    """Stored counts per hour, region and severity, from one pass over the events."""
+    return sinks.feature_table(
+        timeseries.bucket_counts(
+            _symptoms(spark, sf_dir), T, "1 hour", ["region", "severity"], fill=False
+        ),
+        "hourly_counts",
+    )
+
+
 def _advanced(spark, sf_dir):
+    hourly = _hourly_table(spark, sf_dir)
     return alerts.advanced_alerts(
-        *timeseries.sliding_counts_by_each(
-            _symptoms(spark, sf_dir), T, "24 hours", "1 hour", ["region", "severity"]
-        ),
+        *[
+            timeseries.sliding_counts(
+                hourly, "bucket", "24 hours", "1 hour", [key], "event_count"
+            )
+            for key in ("region", "severity")
+        ],
         CONFIG,
     )
 
@@ -500,9 +514,14 @@ def alert_messages(spark, sf_dir):
 
 @query
 def alert_messages_basic(spark, sf_dir):
-    hot = alert_volume(spark, sf_dir)
-    volume = alerts.format_volume_alert(hot, 100, 1440)
-    severe = alert_severe_share(spark, sf_dir)
+    hourly = _hourly_table(spark, sf_dir)
+    windows = timeseries.sliding_counts(
+        hourly, "bucket", "24 hours", "1 hour", ["region"], "event_count"
+    )
+    volume = alerts.format_volume_alert(alerts.volume_alerts(windows, 100), 100, 1440)
+    severe = alerts.share_alerts(
+        hourly, "bucket", "1 day", threshold=16, value="event_count"
+    )
     share = alerts.format_share_alert(severe, 16.0).select(
         F.col("window_start").alias("window_end"), "message"
     )
@@ -512,7 +531,9 @@ def alert_messages_basic(spark, sf_dir):
 @query
 def alert_multi_metric(spark, sf_dir):
     known = projections.not_null(_symptoms(spark, sf_dir), ["region"])
-    daily = timeseries.tumbling_counts(known, T, "1 day", ["region"])
+    daily = sinks.feature_table(
+        timeseries.tumbling_counts(known, T, "1 day", ["region"]), "daily_counts"
+    )
     strength = anomaly.with_zscore(daily, "event_count", ["region"])
     flagged = quality.validate(_dq(spark, sf_dir)).withColumn(
         "window_start", F.window(T, "1 day").start

@@ -16,7 +16,7 @@ from signalwatch.operators.projections import stamp
 from signalwatch.operators.quality import DEFAULT_RULES
 from signalwatch.schemas import ENVIRONMENTAL_CONDITIONS, SYMPTOM_REPORT
 from signalwatch.sources.readers import decode_json
-from signalwatch.sources.sinks import BatchSink, append_result
+from signalwatch.sources.sinks import BatchSink, append_result, feature_table
 from signalwatch.streaming.streams import TRIGGER, start_dq_stream, start_stream
 
 
@@ -120,12 +120,22 @@ def run_advanced_alerts(
     events: DataFrame, config: dict | None = None, t: str = "event_timestamp",
     min_level: str = "LOW", keys: list[str] = (),
 ) -> DataFrame:
-    """All advanced alerts of a table of events, evaluated at every poll and after the cooldown."""
+    """All advanced alerts of a table of events, evaluated at every poll and after the cooldown.
+
+    The events are read once, into stored counts per poll, region and severity.
+    """
     config = {**alerts.ADVANCED_CONFIG, **(config or {})}
     width = f"{config['lookback_minutes']} minutes"
     slide = f"{config['poll_interval_seconds']} seconds"
+    per_poll = feature_table(
+        timeseries.bucket_counts(events, t, slide, ["region", "severity"], fill=False),
+        "counts_per_poll",
+    )
     found = alerts.advanced_alerts(
-        *timeseries.sliding_counts_by_each(events, t, width, slide, ["region", "severity"]),
+        *[
+            timeseries.sliding_counts(per_poll, "bucket", width, slide, [key], "event_count")
+            for key in ("region", "severity")
+        ],
         config, min_level,
     )
     fired = alerts.apply_cooldown(found, "window_end", list(keys), config["cooldown_minutes"])

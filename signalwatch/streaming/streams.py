@@ -88,8 +88,8 @@ def cooldown_stream(
 ) -> DataFrame:
     """``apply_cooldown`` for a stream of alerts that arrives in time order.
 
-    The state is one time per key and leaves when the watermark passes the end of the cooldown: a later
-    alert would fire anyway.  ``keys=[]`` is one clock for all alerts.
+    The state is one time per key and leaves when the watermark passes the end of the cooldown: a
+    later alert would fire anyway.  ``keys=[]`` is one clock for all alerts.
     """
     pause = int(minutes * 60_000_000)
     columns = df.columns
