@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalwatch.session import run_dir
+from signalwatch.session import run_dir, session_conf
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -104,9 +104,8 @@ def append_to_table(df: DataFrame, table: str, run_id: str) -> None:
     if not spark.catalog.tableExists(table):
         rows.write.partitionBy("run_id").format("parquet").saveAsTable(table)
         return
-    rows.select(*spark.table(table).columns).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def append_to_jdbc(

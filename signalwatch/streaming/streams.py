@@ -117,9 +117,11 @@ def cooldown_stream(
             state.remove()
         yield alerts[fired][columns]
 
+    clocks = df.withWatermark(t, lateness)
+    if not keys:
+        clocks, keys = clocks.withColumn("_clock", F.lit(0)), ["_clock"]
     return (
-        df.withWatermark(t, lateness)
-        .groupBy(*(keys or [F.lit(0).alias("_clock")]))
+        clocks.groupBy(*keys)
         .applyInPandasWithState(
             fire, schema, "last bigint", "append", GroupStateTimeout.EventTimeTimeout
         )
