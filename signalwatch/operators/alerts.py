@@ -9,6 +9,7 @@ from signalwatch.functions import z_score
 from signalwatch.operators.analytics import category_share, share_of_total
 from signalwatch.operators.keyed import attach
 from signalwatch.operators.projections import at_least, not_null
+from signalwatch.operators.timeseries import history_zscore
 
 # Thresholds used unless the caller passes others.
 VOLUME_THRESHOLD = 500
@@ -62,31 +63,49 @@ def level_of(max_z: Column, config: dict) -> Column:
     )
 
 
+def _hot(
+    windows: DataFrame, config: dict, value: str, history: tuple[str, int] | None
+) -> DataFrame:
+    """Hot regions of each window; scored against their own past if ``history`` is given."""
+    if history is not None:
+        slide, steps = history
+        windows = history_zscore(windows, "window_end", value, slide, steps, ["region"]).drop(
+            "history_mean", "history_std"
+        )
+    return volume_alerts(windows, config["volume_threshold"], value)
+
+
 def _hot_stats(hot: DataFrame, value: str) -> DataFrame:
+    """Per window: how many regions are hot, their statistics and the largest score.
+
+    Among the hot regions of a window the largest score is that of the largest count, so one
+    aggregation gives it; scores against the past are there already.
+    """
+    mean, std = F.avg(value), F.stddev_pop(value)
+    largest = (
+        F.max("z_score") if "z_score" in hot.columns else z_score(F.max(value), mean, std)
+    )
     return hot.groupBy("window_start", "window_end").agg(
-        F.count("*").alias("hot_regions"),
-        F.avg(value).alias("_mean"),
-        F.stddev_pop(value).alias("_std"),
-        F.max(value).alias("_max"),
+        F.count("*").alias("hot_regions"), mean.alias("_mean"), std.alias("_std"),
+        largest.alias("max_z"),
     )
 
 
 def alert_level(
-    windows: DataFrame, config: dict | None = None, value: str = "event_count"
+    windows: DataFrame, config: dict | None = None, value: str = "event_count",
+    history: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Level of each window: how far its busiest hot region stands out among the hot regions.
+    """Level of each window: how far its most unusual hot region stands out.
 
     Hot regions are the known regions at or above the volume threshold; a window without any has no
-    level.  The largest score is that of the largest count, so one aggregation is enough.
+    level.  A region is compared with the other hot regions of the window, or, given ``history`` as
+    ``(slide, steps)``, with its own last ``steps`` evaluations.
     """
     config = {**ADVANCED_CONFIG, **(config or {})}
-    hot = volume_alerts(windows, config["volume_threshold"], value)
-    max_z = z_score(F.col("_max"), F.col("_mean"), F.col("_std"))
     return (
-        _hot_stats(hot, value)
-        .withColumn("max_z", max_z)
+        _hot_stats(_hot(windows, config, value, history), value)
         .withColumn("level", level_of(F.col("max_z"), config))
-        .drop("_mean", "_std", "_max")
+        .drop("_mean", "_std")
     )
 
 
@@ -116,21 +135,26 @@ def severity_mix(counts: DataFrame, value: str = "event_count") -> DataFrame:
 def advanced_alerts(
     windows: DataFrame, severities: DataFrame, config: dict | None = None,
     min_level: str = "LOW", value: str = "event_count",
+    history: tuple[str, int] | None = None,
 ) -> DataFrame:
     """One alert per window with hot regions: level, busiest hot regions and severity mix.
 
-    ``windows`` counts events per window and region, ``severities`` per window and severity.
+    ``windows`` counts events per window and region, ``severities`` per window and severity.  Scores
+    and levels are those of ``alert_level``.
     """
     config = {**ADVANCED_CONFIG, **(config or {})}
-    hot = volume_alerts(windows, config["volume_threshold"], value)
+    hot = _hot(windows, config, value, history)
     stats = _hot_stats(hot, value)
-    top = top_regions(hot, config["top_n_regions"], value).select(
-        "window_end", "rank", "region", F.col(value).alias("events")
-    )
+    top = top_regions(hot, config["top_n_regions"], value).withColumnRenamed(value, "events")
+    if history is None:
+        peers = z_score(F.col("events"), F.col("_mean"), F.col("_std"))
+        top = top.join(stats, ["window_start", "window_end"]).withColumn("z_score", peers)
+    else:
+        top = top.join(stats, ["window_start", "window_end"])
     listed = (
-        top.join(stats, "window_end")
-        .withColumn("z_score", z_score(F.col("events"), F.col("_mean"), F.col("_std")))
-        .groupBy("window_start", "window_end", "hot_regions", "_mean", "_std", "_max")
+        top.withColumn("level", level_of(F.col("max_z"), config))
+        .where(F.col("level").isin(*LEVELS[LEVELS.index(min_level):]))
+        .groupBy("window_start", "window_end", "level", "hot_regions")
         .agg(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("rank", "region", "events", "z_score"))),
@@ -140,10 +164,6 @@ def advanced_alerts(
                 ),
             ).alias("regions")
         )
-        .withColumn(
-            "level", level_of(z_score(F.col("_max"), F.col("_mean"), F.col("_std")), config)
-        )
-        .where(F.col("level").isin(*LEVELS[LEVELS.index(min_level):]))
     )
     return listed.join(severity_mix(severities, value), "window_end", "left").select(
         "window_start", "window_end", "level", "hot_regions", "regions", "mix"

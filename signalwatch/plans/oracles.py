@@ -449,6 +449,15 @@ from (
 select window_start, {_r('percentage')} as percentage from severe_days""",
     "alert_level": f"""
 select window_start, window_end, hot_regions, {_r('max_z')} as max_z, level from levels""",
+    "alert_level_history": f"""
+select window_start, window_end, count(*) as hot_regions, {_r('max(z)')} as max_z,
+  case when max(z) >= 1.5 then 'HIGH' when max(z) >= 0.5 then 'MEDIUM' else 'LOW' end as level
+from (
+  select *, (event_count - avg(event_count) over w) / nullif(stddev_pop(event_count) over w, 0) as z
+  from windows window w as (partition by region order by window_end
+    range between interval '24 hours' preceding and interval '1 hour' preceding)) t
+where event_count >= 80
+group by 1, 2""",
     "alert_top_regions": "select * from busiest",
     "alert_advanced": f"""
 select b.window_start, b.window_end, l.level, l.hot_regions,
@@ -594,6 +603,15 @@ select bucket as window_start, bucket + interval '1 hour' as window_end, region,
 from hourly_region
 where bucket + interval '1 hour'
   <= (select max(ts) from events) - interval '10 minutes'""",
+    "stream_sliding_counts": """
+select region, window_start, window_start + interval '6 hours' as window_end,
+  cast(sum(event_count) as bigint) as event_count
+from (select region, event_count,
+        unnest(generate_series(bucket - interval '5 hours', bucket, interval '1 hour'))
+          as window_start
+      from hourly_region) t
+where window_start + interval '6 hours' <= (select max(ts) from events) - interval '10 minutes'
+group by 1, 2""",
     "stream_dedup": "select event_id, event_timestamp, symptoms from symptoms",
     "stream_cooldown": f"""{_FIRED_REGIONS}
 select v.region, v.window_end, v.event_count

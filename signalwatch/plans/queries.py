@@ -456,6 +456,11 @@ def alert_level(spark, sf_dir):
     return alerts.alert_level(_daily_windows(spark, sf_dir), CONFIG)
 
 
+@query
+def alert_level_history(spark, sf_dir):
+    return alerts.alert_level(_daily_windows(spark, sf_dir), CONFIG, history=("1 hour", 24))
+
+
 @query
 def alert_top_regions(spark, sf_dir):
     hot = alerts.volume_alerts(_daily_windows(spark, sf_dir), CONFIG["volume_threshold"])
@@ -800,6 +805,18 @@ def stream_windowed_counts(spark, sf_dir):
     return sinks.read_history(spark, out).drop("batch_id")
 
 
+@query
+def stream_sliding_counts(spark, sf_dir):
+    out = run_dir(spark, "stream_sliding_counts")
+    _run(
+        streams.sliding_stream(
+            A.symptom_reports(_stream(spark, sf_dir)), T, "6 hours", "1 hour", ["region"]
+        ),
+        sinks.append_sink(out), "stream_sliding_counts",
+    )
+    return sinks.read_history(spark, out).drop("batch_id")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     out = run_dir(spark, "stream_dedup")

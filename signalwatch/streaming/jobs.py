@@ -34,8 +34,14 @@ def _stamped(sink: BatchSink) -> BatchSink:
 
 
 def _with_share(sink: BatchSink) -> BatchSink:
+    """Shares use the batch twice, so it is kept: the state must not be worked out twice."""
+
     def write(df: DataFrame, batch_id: int) -> None:
-        sink(analytics.share_of_total(df, "event_count"), batch_id)
+        kept = df.persist()
+        try:
+            sink(analytics.share_of_total(kept, "event_count"), batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 

@@ -66,6 +66,30 @@ def windowed_stream(
     return tumbling_counts(df.withWatermark(t, lateness), t, width, by)
 
 
+def sliding_stream(
+    df: DataFrame, t: str, width: str, slide: str, by: list[str] = (),
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """Counts of the last ``width`` at the end of every ``slide``, final after ``lateness``.
+
+    Events are counted once per slide; only these counts, not the events, are copied into the windows
+    that cover them.
+    """
+    per_slide = (
+        df.withWatermark(t, lateness)
+        .groupBy(F.window(t, slide).alias("_slide"), *by)
+        .agg(F.count("*").alias("_events"))
+    )
+    return (
+        per_slide.groupBy(F.window(F.window_time("_slide"), width, slide), *by)
+        .agg(F.sum("_events").alias("event_count"))
+        .select(
+            *by, F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"), "event_count",
+        )
+    )
+
+
 def dedup_stream(df: DataFrame, key: str, t: str, lateness: str = "10 minutes") -> DataFrame:
     """Drop replayed events; ids are remembered for ``lateness`` of event time only."""
     return df.withWatermark(t, lateness).dropDuplicatesWithinWatermark([key])

@@ -103,6 +103,23 @@ def test_single_hot_region_has_no_score(spark):
     assert row.message.endswith("Severity mix: no data available.")
 
 
+def test_history_scores_a_region_against_its_own_past(spark):
+    counts = [10, 12, 10, 12, 110]
+    windows = spark.createDataFrame(
+        [("NE", T0 + timedelta(minutes=m - 5), T0 + timedelta(minutes=m), n)
+         for m, n in enumerate(counts)]
+        + [("NW", T0 + timedelta(minutes=m - 5), T0 + timedelta(minutes=m), 150) for m in range(5)],
+        SCHEMA,
+    )
+    got = alerts.alert_level(windows, history=("1 minute", 4)).orderBy("window_end").collect()
+    assert [(r.hot_regions, r.level) for r in got] == [(1, "LOW")] * 4 + [(2, "HIGH")]
+    assert [r.max_z for r in got] == [None] * 4 + [pytest.approx(99.0)]
+    found = alerts.advanced_alerts(windows, _mix(spark, []), history=("1 minute", 4))
+    last = found.orderBy("window_end").collect()[-1]
+    assert [r.region for r in last.regions] == ["NW", "NE"]
+    assert [r.z_score for r in last.regions] == [None, pytest.approx(99.0)]
+
+
 def test_minimum_level(spark):
     windows, mix = _windows(spark, [("NE", 300)]), _mix(spark, [("mild", 1)])
     assert alerts.advanced_alerts(windows, mix, min_level="MEDIUM").count() == 0
