@@ -26,6 +26,24 @@ ADVANCED_CONFIG = {
 
 LEVELS = ("LOW", "MEDIUM", "HIGH")
 
+# The wording of alert messages, line by line.
+TIME_LINE = "Time: %s"
+TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
+ADVANCED_TITLE = "[Advanced Alert] Unusual symptom activity detected"
+LOOKBACK_LINE = "Lookback window: last %d minutes (threshold=%d events)"
+LEVEL_LINE = "Assigned severity: %s"
+REGIONS_TITLE = "Regions with elevated activity:"
+REGION_LINE = "- %s: %d events (z=%s)"
+MIX_TITLE = "Severity mix in lookback window:"
+MIX_LINE = "- %s: %s%%"
+NO_MIX_LINE = "Severity mix: no data available."
+VOLUME_TITLE = "[Basic Alert] High visit volume detected"
+VOLUME_THRESHOLD_LINE = "Threshold: %d events / %d min"
+VOLUME_REGIONS_TITLE = "Regions:"
+VOLUME_REGION_LINE = "- %s: %d events in last %d minutes"
+SHARE_TITLE = "[Basic Alert] High severe case share detected"
+SHARE_LINE = "Severe share: %s%% (threshold=%s%%)"
+
 _DAY_MICROS = 86_400_000_000
 
 
@@ -310,8 +328,6 @@ def apply_cooldown(df: DataFrame, t: str, keys: list[str], minutes: float) -> Da
 
 # -- text ----------------------------------------------------------------------------------------
 
-_TIME = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
-
 
 def _fixed(value: Column, places: int) -> Column:
     """Decimal text with ties to even, as in ``12.25 -> 12.2``; NULL stays NULL."""
@@ -319,43 +335,43 @@ def _fixed(value: Column, places: int) -> Column:
     return F.when(value.isNotNull(), text)
 
 
-def _lines(items: Column, line) -> Column:
+def _time_line(t: str) -> Column:
+    return F.format_string(TIME_LINE, F.date_format(t, TIME_PATTERN))
+
+
+def _each(items: Column, line) -> Column:
     return F.array_join(F.transform(items, line), "\n")
 
 
+def _message(*lines: Column | str) -> Column:
+    return F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
+
+
 def format_alert(df: DataFrame, config: dict | None = None, t: str = "window_end") -> DataFrame:
-    """Add the ``message`` of each advanced alert.  The wording is a fixed value."""
+    """Add the ``message`` of each advanced alert."""
     config = {**ADVANCED_CONFIG, **(config or {})}
 
     def region_line(r: Column) -> Column:
         score = F.coalesce(_fixed(r.z_score, 2), F.lit("nan"))
-        return F.format_string("- %s: %d events (z=%s)", r.region, r.events, score)
+        return F.format_string(REGION_LINE, r.region, r.events, score)
 
     def mix_line(m: Column) -> Column:
         name = F.coalesce(m.severity, F.lit("None"))
-        return F.format_string("- %s: %s%%", name, _fixed(m.percentage, 1))
-
-    mix = F.when(
-        F.size("mix") > 0,
-        F.concat_ws("\n", F.lit("Severity mix in lookback window:"), _lines(F.col("mix"), mix_line)),
-    ).otherwise(F.lit("Severity mix: no data available."))
-    head = (
-        f"Lookback window: last {config['lookback_minutes']} minutes "
-        f"(threshold={config['volume_threshold']} events)"
-    )
+        return F.format_string(MIX_LINE, name, _fixed(m.percentage, 1))
+
+    mix = F.when(F.size("mix") > 0, _message(MIX_TITLE, _each(F.col("mix"), mix_line)))
     return df.withColumn(
         "message",
-        F.concat_ws(
-            "\n",
-            F.lit("[Advanced Alert] Unusual symptom activity detected"),
-            F.concat(F.lit("Time: "), F.date_format(t, _TIME)),
-            F.lit(head),
-            F.concat(F.lit("Assigned severity: "), F.col("level")),
-            F.lit(""),
-            F.lit("Regions with elevated activity:"),
-            _lines(F.col("regions"), region_line),
-            F.lit(""),
-            mix,
+        _message(
+            ADVANCED_TITLE,
+            _time_line(t),
+            LOOKBACK_LINE % (config["lookback_minutes"], config["volume_threshold"]),
+            F.format_string(LEVEL_LINE, "level"),
+            "",
+            REGIONS_TITLE,
+            _each(F.col("regions"), region_line),
+            "",
+            mix.otherwise(F.lit(NO_MIX_LINE)),
         ),
     )
 
@@ -366,19 +382,17 @@ def format_volume_alert(
 ) -> DataFrame:
     """One ``message`` per window that lists its hot regions, busiest first."""
     regions = F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("o"), "region")))
+    lines = _each(
+        regions,
+        lambda r: F.format_string(VOLUME_REGION_LINE, r.region, -r.o, F.lit(minutes)),
+    )
     return hot.groupBy("window_end").agg(
-        F.concat_ws(
-            "\n",
-            F.lit("[Basic Alert] High visit volume detected"),
-            F.concat(F.lit("Time: "), F.date_format("window_end", _TIME)),
-            F.lit(f"Threshold: {threshold} events / {minutes} min"),
-            F.lit("Regions:"),
-            _lines(
-                regions,
-                lambda r: F.format_string(
-                    f"- %s: %d events in last {minutes} minutes", r.region, -r.o
-                ),
-            ),
+        _message(
+            VOLUME_TITLE,
+            _time_line("window_end"),
+            VOLUME_THRESHOLD_LINE % (threshold, minutes),
+            VOLUME_REGIONS_TITLE,
+            lines,
         ).alias("message")
     )
 
@@ -387,15 +401,5 @@ def format_share_alert(
     shares: DataFrame, threshold: float = SEVERE_SHARE_THRESHOLD, t: str = "window_start"
 ) -> DataFrame:
     """Add the ``message`` of each severe-share alert."""
-    return shares.withColumn(
-        "message",
-        F.concat_ws(
-            "\n",
-            F.lit("[Basic Alert] High severe case share detected"),
-            F.concat(F.lit("Time: "), F.date_format(t, _TIME)),
-            F.format_string(
-                f"Severe share: %s%% (threshold={threshold:.1f}%%)",
-                _fixed(F.col("percentage"), 1),
-            ),
-        ),
-    )
+    share = F.format_string(SHARE_LINE, _fixed(F.col("percentage"), 1), F.lit(f"{threshold:.1f}"))
+    return shares.withColumn("message", _message(SHARE_TITLE, _time_line(t), share))

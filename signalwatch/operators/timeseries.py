@@ -74,12 +74,14 @@ def bucket_counts(
 
 
 def sliding_counts(
-    df: DataFrame, t: str, width: str, slide: str, by: list[str] = (), value: str | None = None
+    df: DataFrame, t: str, width: str, slide: str, by: list[str] = (), value: str | None = None,
+    every_slide: bool = False,
 ) -> DataFrame:
     """Events in the last ``width``, evaluated at the end of each ``slide`` that has events.
 
     Counts are taken once per slide and then summed over a trailing frame, instead of copying each
     event into every window that covers it.  Windows are closed at the start and open at the end.
+    ``every_slide`` also evaluates quiet slides, as long as their window still covers an event.
     """
     steps = seconds(width) // seconds(slide)
     if steps * seconds(slide) != seconds(width):
@@ -90,6 +92,8 @@ def sliding_counts(
         .groupBy(*by, bucket_number(t, slide).alias("_n"))
         .agg(total.alias("_events"))
     )
+    if every_slide:
+        per_slide = _with_quiet_slides(per_slide, steps, list(by))
     summed = trailing(
         per_slide, "_n", steps - 1, list(by),
         {"event_count": lambda w: F.sum("_events").over(w.rangeBetween(-(steps - 1), 0))},
@@ -102,6 +106,23 @@ def sliding_counts(
     )
 
 
+def _with_quiet_slides(per_slide: DataFrame, steps: int, by: list[str]) -> DataFrame:
+    """Add empty slides after each slide, up to the next one or until its events are out of reach.
+
+    The next slide is found by a trailing frame over the mirrored time axis.
+    """
+    nearby = trailing(
+        per_slide.withColumn("_back", -F.col("_n")), "_back", steps - 1, by,
+        {"_next": lambda w: F.min("_n").over(w.rangeBetween(-(steps - 1), -1))},
+    )
+    last = F.coalesce(F.col("_next"), F.col("_n") + steps) - 1
+    return nearby.withColumn("_at", F.explode(F.sequence("_n", last))).select(
+        *by,
+        F.col("_at").alias("_n"),
+        F.when(F.col("_at") == F.col("_n"), F.col("_events")).otherwise(0).alias("_events"),
+    )
+
+
 def _positioned(
     df: DataFrame, order: list[str], by: list[str], width: str | None
 ) -> DataFrame:

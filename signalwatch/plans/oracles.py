@@ -95,6 +95,14 @@ select region, bucket - interval '23 hours' as window_start,
   cast(sum(event_count) over (partition by region order by bucket
     range between interval '23 hours' preceding and current row) as bigint) as event_count
 from hourly_region where region is not null""",
+    "covering": """
+select region, window_start, window_start + interval '6 hours' as window_end,
+  cast(sum(event_count) as bigint) as event_count
+from (select region, event_count,
+        unnest(generate_series(bucket - interval '5 hours', bucket, interval '1 hour'))
+          as window_start
+      from hourly_region) t
+group by 1, 2""",
     "lagged": """
 select day_of_week, hour_of_day, event_count as event_count_true, event_count_pred
 from (select *, row_number() over w as n,
@@ -296,8 +304,8 @@ select event_id, event_type,
     then event_type else 'unmatched' end as route
 from raw""",
     "enrich_events": """
-select event_id, '2025-12-11 00:30:12' as processing_timestamp,
-  'event-generator' as event_source, '07' as team_id
+select event_id, '2024-02-01 12:00:00' as processing_timestamp,
+  'gateway' as event_source, 'team-a' as team_id
 from raw where event_type = 'symptom_report'""",
     "parse_event_time": "select event_id, ts as event_timestamp from raw",
     "severity_score": "select event_id, severity, severity_score from scored",
@@ -384,6 +392,7 @@ select time_bucket(interval '5 minutes', event_timestamp) as window_start,
   region, count(*) as event_count
 from symptoms group by 1, 2, 3""",
     "sliding_region_counts": "select * from windows",
+    "sliding_every_slide": "select * from covering",
     "rolling_baseline_k3": f"""
 select day_of_week, hour_of_day, event_count_true, {_r('event_count_pred')} as event_count_pred
 from lagged""",
@@ -604,14 +613,8 @@ from hourly_region
 where bucket + interval '1 hour'
   <= (select max(ts) from events) - interval '10 minutes'""",
     "stream_sliding_counts": """
-select region, window_start, window_start + interval '6 hours' as window_end,
-  cast(sum(event_count) as bigint) as event_count
-from (select region, event_count,
-        unnest(generate_series(bucket - interval '5 hours', bucket, interval '1 hour'))
-          as window_start
-      from hourly_region) t
-where window_start + interval '6 hours' <= (select max(ts) from events) - interval '10 minutes'
-group by 1, 2""",
+select * from covering
+where window_end <= (select max(ts) from events) - interval '10 minutes'""",
     "stream_dedup": "select event_id, event_timestamp, symptoms from symptoms",
     "stream_cooldown": f"""{_FIRED_REGIONS}
 select v.region, v.window_end, v.event_count

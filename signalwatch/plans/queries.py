@@ -172,8 +172,8 @@ def route_events(spark, sf_dir):
 def enrich_events(spark, sf_dir):
     decoded = readers.decode_json(_raw(spark, sf_dir), SYMPTOM_REPORT)
     branch = ingest.route(decoded)["symptom_report"]
-    now = F.lit("2025-12-11 00:30:12").cast("timestamp")
-    return ingest.enrich(branch, "event-generator", "07", now).select(
+    now = F.lit("2024-02-01 12:00:00").cast("timestamp")
+    return ingest.enrich(branch, "gateway", "team-a", now).select(
         "event_id", "processing_timestamp", "event_source", "team_id"
     )
 
@@ -336,6 +336,13 @@ def sliding_region_counts(spark, sf_dir):
     return _daily_windows(spark, sf_dir)
 
 
+@query
+def sliding_every_slide(spark, sf_dir):
+    return timeseries.sliding_counts(
+        _symptoms(spark, sf_dir), T, "6 hours", "1 hour", ["region"], every_slide=True
+    )
+
+
 @query
 def rolling_baseline_k3(spark, sf_dir):
     return forecast.baseline_predictions(_pattern_counts(spark, sf_dir), "lagged", 3)

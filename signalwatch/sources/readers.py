@@ -43,13 +43,16 @@ def read_event_stream(
     return reader.load(path) if path else reader.load()
 
 
-def decode_json(df: DataFrame, schema: StructType | str, col: str = "value") -> DataFrame:
-    """Turn a JSON payload column into typed columns.
+def decode_json(
+    df: DataFrame, schema: StructType | str, col: str = "value", keep: list[str] = ()
+) -> DataFrame:
+    """Turn a JSON payload column into typed columns, next to the envelope columns to ``keep``.
 
     Text that is no JSON object gives a row of NULLs, a field of the wrong type gives NULL in that
     field only; both stay in the data so that the quality checks can count them.
     """
-    return df.select(F.from_json(F.col(col).cast("string"), schema).alias("data")).select("data.*")
+    decoded = F.from_json(F.col(col).cast("string"), schema)
+    return df.select(*keep, decoded.alias("_data")).select(*keep, "_data.*")
 
 
 def read_jdbc(

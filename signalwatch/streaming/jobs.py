@@ -139,7 +139,9 @@ def run_advanced_alerts(
     )
     found = alerts.advanced_alerts(
         *[
-            timeseries.sliding_counts(per_poll, "bucket", width, slide, [key], "event_count")
+            timeseries.sliding_counts(
+                per_poll, "bucket", width, slide, [key], "event_count", every_slide=True
+            )
             for key in ("region", "severity")
         ],
         config, min_level,

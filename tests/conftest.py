@@ -16,7 +16,10 @@ def spark(tmp_path_factory):
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false")
         # Many small plans, each run once: quick compilation beats the best compilation.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config(
+            "spark.driver.extraJavaOptions",
+            "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m",
+        )
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

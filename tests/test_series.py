@@ -53,6 +53,23 @@ def test_sliding_counts_match_brute_force(spark, small_blocks, width, slide):
     } == want
 
 
+@pytest.mark.parametrize("width,slide", [(5, 1), (60, 20), (30, 30)])
+def test_quiet_slides_are_evaluated_while_events_are_in_reach(spark, small_blocks, width, slide):
+    rng = random.Random(width)
+    minutes = [rng.randrange(400) for _ in range(40)] + [5000, 5001, 5400]
+    got = timeseries.sliding_counts(
+        _minutes(spark, minutes, "a"), "t", f"{width} minutes", f"{slide} minutes", ["k"],
+        every_slide=True,
+    )
+    want = {
+        end: n for end in range(slide, 6000, slide)
+        if (n := sum(end - width <= m < end for m in minutes))
+    }
+    assert {
+        int((r.window_end - T0).total_seconds() // 60): r.event_count for r in got.collect()
+    } == want
+
+
 def test_sliding_width_must_fit(spark):
     with pytest.raises(ValueError):
         timeseries.sliding_counts(_minutes(spark, [1]), "t", "5 minutes", "2 minutes")
