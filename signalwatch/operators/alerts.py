@@ -153,26 +153,31 @@ def severity_mix(counts: DataFrame, value: str = "event_count") -> DataFrame:
 def advanced_alerts(
     windows: DataFrame, severities: DataFrame, config: dict | None = None,
     min_level: str = "LOW", value: str = "event_count",
-    history: tuple[str, int] | None = None,
+    history: tuple[str, int] | None = None, cooldown_keys: list[str] | None = None,
 ) -> DataFrame:
     """One alert per window with hot regions: level, busiest hot regions and severity mix.
 
     ``windows`` counts events per window and region, ``severities`` per window and severity.  Scores
-    and levels are those of ``alert_level``.
+    and levels are those of ``alert_level``.  With ``cooldown_keys`` (``[]``, or ``["level"]`` for a
+    clock per level) the cooldown is applied to the levels, before the lists are put together.
     """
     config = {**ADVANCED_CONFIG, **(config or {})}
     hot = _hot(windows, config, value, history)
-    stats = _hot_stats(hot, value)
-    top = top_regions(hot, config["top_n_regions"], value).withColumnRenamed(value, "events")
+    fired = (
+        _hot_stats(hot, value).withColumn("level", level_of(F.col("max_z"), config))
+        .where(F.col("level").isin(*LEVELS[LEVELS.index(min_level):]))
+    )
+    if cooldown_keys is not None:
+        fired = apply_cooldown(fired, "window_end", cooldown_keys, config["cooldown_minutes"])
+    top = (
+        top_regions(hot, config["top_n_regions"], value).withColumnRenamed(value, "events")
+        .join(fired, ["window_start", "window_end"])
+    )
     if history is None:
         peers = z_score(F.col("events"), F.col("_mean"), F.col("_std"))
-        top = top.join(stats, ["window_start", "window_end"]).withColumn("z_score", peers)
-    else:
-        top = top.join(stats, ["window_start", "window_end"])
+        top = top.withColumn("z_score", peers)
     listed = (
-        top.withColumn("level", level_of(F.col("max_z"), config))
-        .where(F.col("level").isin(*LEVELS[LEVELS.index(min_level):]))
-        .groupBy("window_start", "window_end", "level", "hot_regions")
+        top.groupBy("window_start", "window_end", "level", "hot_regions")
         .agg(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("rank", "region", "events", "z_score"))),

@@ -484,7 +484,7 @@ def _hourly_table(spark, sf_dir):
     )
 
 
-def _advanced(spark, sf_dir):
+def _advanced(spark, sf_dir, cooldown_keys=None):
     hourly = _hourly_table(spark, sf_dir)
     return alerts.advanced_alerts(
         *[
@@ -493,7 +493,7 @@ def _advanced(spark, sf_dir):
             )
             for key in ("region", "severity")
         ],
-        CONFIG,
+        CONFIG, cooldown_keys=cooldown_keys,
     )
 
 
@@ -518,10 +518,7 @@ def alert_cooldown_global(spark, sf_dir):
 
 @query
 def alert_messages(spark, sf_dir):
-    fired = alerts.apply_cooldown(
-        _advanced(spark, sf_dir), "window_end", [], CONFIG["cooldown_minutes"]
-    )
-    return alerts.format_alert(fired, CONFIG).select("window_end", "level", "message")
+    return alerts.format_alert(_advanced(spark, sf_dir, []), CONFIG).select("window_end", "level", "message")
 
 
 @query

@@ -137,16 +137,15 @@ def run_advanced_alerts(
         timeseries.bucket_counts(events, t, slide, ["region", "severity"], fill=False),
         "counts_per_poll",
     )
-    found = alerts.advanced_alerts(
+    fired = alerts.advanced_alerts(
         *[
             timeseries.sliding_counts(
                 per_poll, "bucket", width, slide, [key], "event_count", every_slide=True
             )
             for key in ("region", "severity")
         ],
-        config, min_level,
+        config, min_level, cooldown_keys=list(keys),
     )
-    fired = alerts.apply_cooldown(found, "window_end", list(keys), config["cooldown_minutes"])
     return alerts.format_alert(fired, config)
 
 
