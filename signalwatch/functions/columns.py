@@ -56,7 +56,7 @@ def z_score(value: Column, mean: Column, std: Column) -> Column:
 
 def bucket_number(t: Column | str, width: str) -> Column:
     """Number of whole intervals between the epoch and ``t``: a gapless integer time axis."""
-    return F.floor(F.unix_seconds(_col(t)) / seconds(width)).cast("bigint")
+    return F.floor(F.unix_seconds(_col(t).cast("timestamp")) / seconds(width)).cast("bigint")
 
 
 def bucket_start(number: Column | str, width: str) -> Column:

@@ -232,7 +232,7 @@ def apply_cooldown(df: DataFrame, t: str, keys: list[str], minutes: float) -> Da
         return df
     width = max(_DAY_MICROS, 32 * pause)
     keys = list(keys)
-    at, block = F.unix_micros(F.col(t)), F.col("_block")
+    at, block = F.unix_micros(F.col(t).cast("timestamp")), F.col("_block")
     blocks = (
         df.where(F.col(t).isNotNull())
         .groupBy(*keys, F.floor(at / width).alias("_block"))

@@ -62,13 +62,15 @@ def lookback(
 ) -> DataFrame:
     """Rows of the last ``minutes`` before ``as_of``, which defaults to the newest event time.
 
-    The default is a one-value subquery, so the bound still reaches the scan as a filter.
+    The default is a one-value subquery, so the bound still reaches the scan as a filter.  The start is
+    worked out inside the subquery: a scan takes a bare value only, not a sum.
     """
+    span = F.expr(f"interval {int(minutes)} minutes")
     if as_of is None:
-        end = df.agg(F.max(t).alias("newest")).select("newest").scalar()
+        start = df.agg((F.max(t) - span).alias("start")).select("start").scalar()
     else:
-        end = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.where(F.col(t) >= end - F.expr(f"interval {int(minutes)} minutes"))
+        start = (as_of if isinstance(as_of, Column) else F.lit(as_of)) - span
+    return df.where(F.col(t) >= start)
 
 
 def at_least(df: DataFrame, col: str, threshold: float) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from signalwatch.operators import keyed, timeseries
 
@@ -27,6 +28,12 @@ def test_filled_buckets_are_gapless(spark):
     ]
 
 
+def test_times_without_zone_work_too(spark):
+    df = _minutes(spark, [3, 4, 21]).withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = timeseries.bucket_counts(df, "t", "5 minutes").orderBy("bucket").collect()
+    assert [r.event_count for r in got] == [2, 0, 0, 0, 1]
+
+
 def test_long_gap_is_filled(spark):
     df = _minutes(spark, [0, 5 * 10_000])
     got = timeseries.bucket_counts(df, "t", "5 minutes")
