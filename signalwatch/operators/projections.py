@@ -68,9 +68,9 @@ def lookback(
     span = F.expr(f"interval {int(minutes)} minutes")
     if as_of is None:
         start = df.agg((F.max(t) - span).alias("start")).select("start").scalar()
-    else:
-        start = (as_of if isinstance(as_of, Column) else F.lit(as_of)) - span
-    return df.where(F.col(t) >= start)
+        return df.where(F.col(t) >= start)
+    end = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return df.where((F.col(t) >= end - span) & (F.col(t) <= end))
 
 
 def at_least(df: DataFrame, col: str, threshold: float) -> DataFrame:

@@ -779,7 +779,7 @@ def stream_symptom_by_region(spark, sf_dir):
     out = run_dir(spark, "stream_symptom_by_region")
     _run(
         analytics.symptom_by_region(A.symptom_reports(_stream(spark, sf_dir))),
-        sinks.snapshot_sink(out), "stream_symptom_by_region", mode="complete",
+        sinks.snapshot_sink(out, files=1), "stream_symptom_by_region", mode="complete",
     )
     return sinks.read_snapshot(spark, out)
 
@@ -804,7 +804,7 @@ def stream_windowed_counts(spark, sf_dir):
         streams.windowed_stream(
             A.symptom_reports(_stream(spark, sf_dir)), T, "1 hour", ["region"], "10 minutes"
         ),
-        sinks.append_sink(out), "stream_windowed_counts",
+        sinks.append_sink(out, files=8), "stream_windowed_counts",
     )
     return sinks.read_history(spark, out).drop("batch_id")
 
@@ -816,7 +816,7 @@ def stream_sliding_counts(spark, sf_dir):
         streams.sliding_stream(
             A.symptom_reports(_stream(spark, sf_dir)), T, "6 hours", "1 hour", ["region"]
         ),
-        sinks.append_sink(out), "stream_sliding_counts",
+        sinks.append_sink(out, files=8), "stream_sliding_counts",
     )
     return sinks.read_history(spark, out).drop("batch_id")
 

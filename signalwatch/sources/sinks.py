@@ -25,16 +25,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # -- snapshots -----------------------------------------------------------------------------------
 
 
-def snapshot_sink(path: str) -> BatchSink:
+def _in_files(df: DataFrame, files: int | None) -> DataFrame:
+    """Rows in at most that many files; adaptive execution does not merge a stream's partitions."""
+    return df if files is None else df.repartition(files)
+
+
+def snapshot_sink(path: str, files: int | None = None) -> BatchSink:
     """Replace a table on each batch without a moment in which readers find it empty.
 
     Batches alternate between two folders, so the one being rewritten is never the newest complete one
-    and storage stays at two snapshots.
+    and storage stays at two snapshots.  ``files`` keeps a small table that many state partitions hold
+    from becoming as many tiny files.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            _in_files(df, files).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .parquet(f"{path}/slot={batch_id % 2}")
         )
@@ -78,11 +84,11 @@ def feature_table(df: DataFrame, name: str) -> DataFrame:
 # -- history -------------------------------------------------------------------------------------
 
 
-def append_sink(path: str) -> BatchSink:
+def append_sink(path: str, files: int | None = None) -> BatchSink:
     """Append each batch to a history table; a replayed batch replaces its own partition."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _in_files(df, files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

@@ -50,13 +50,23 @@ def start_stream(
 
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until one of the session's queries ends, then stop the given ones that still run."""
+    """Wait until one of the queries ends, stop the others, and raise the error of one that failed.
+
+    Other queries of the session may come and go meanwhile.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            spark.streams.resetTerminated()
+            if all(query.isActive for query in queries):
+                spark.streams.awaitAnyTermination()
     finally:
         for query in queries:
             if query.isActive:
                 query.stop()
+    for query in queries:
+        error = query.exception()
+        if error is not None:
+            raise error
 
 
 def windowed_stream(

@@ -1,7 +1,9 @@
 import json
+import threading
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from signalwatch.operators import alerts, analytics, quality
 from signalwatch.sources import readers, sinks
@@ -121,6 +123,31 @@ def test_environment_job_equals_batch(spark, rows, tmp_path):
         assert rows(sinks.read_snapshot(spark, out[name]), *frame.columns) == rows(frame)
 
 
+def test_await_any_stops_the_other_queries(spark, source, tmp_path):
+    decoded = jobs.decode_symptom_reports(_messages(spark, source))
+    running = [
+        streams.start_stream(
+            decoded, sinks.append_sink(str(tmp_path / name)), name, str(tmp_path / f"c-{name}"),
+            trigger="1 second",
+        )
+        for name in ("first", "second")
+    ]
+    timer = threading.Timer(2, running[0].stop)
+    timer.start()
+    streams.await_any(spark, running)
+    assert not any(q.isActive for q in running)
+
+
+def test_await_any_raises_the_error_of_a_failed_query(spark, source, tmp_path):
+    def broken(df, batch_id):
+        raise RuntimeError("sink is gone")
+
+    decoded = jobs.decode_symptom_reports(_messages(spark, source))
+    query = streams.start_stream(decoded, broken, "broken", str(tmp_path / "c"), trigger=None)
+    with pytest.raises(StreamingQueryException):
+        streams.await_any(spark, [query])
+
+
 def _run(df, path, name, tmp_path, **kw):
     streams.start_stream(
         df, sinks.append_sink(str(path)), name, str(tmp_path / f"c-{name}"),
