@@ -188,6 +188,8 @@ select p.day_of_week, p.hour_of_day, p.unique_patients,
   b0 + bd * p.day_of_week + bh * p.hour_of_day as event_count_pred
 from patterns p, line
 where (p.day_of_week * 24 + p.hour_of_day) % 5 = 0""",
+    "daily_orders": """
+select date_trunc('day', o_orderdate) as bucket, count(*) as event_count from orders group by 1""",
     "weekly": """
 select cast(floor(epoch(event_timestamp) / 604800) as bigint) as run,
   dayofweek(event_timestamp) + 1 as d, hour(event_timestamp) as h, count(*) as n
@@ -602,6 +604,48 @@ select t.table_name, max(ts) as newest, count(*) as row_count
 from events, (values ('symptom_reports'), ('environmental_conditions'), ('dq_events'))
   t(table_name)
 group by 1""",
+    # the same operators on other tables
+    "lineitem_dq_metrics": """
+select l_linestatus, count(*) as total_records,
+  cast(sum(case when l_quantity is null or isnan(l_quantity) then 1 else 0 end) as bigint)
+    as l_quantity_null_fail,
+  cast(sum(case when l_discount is null or isnan(l_discount) then 1 else 0 end) as bigint)
+    as l_discount_null_fail,
+  cast(sum(case when l_returnflag is null then 1 else 0 end) as bigint)
+    as l_returnflag_null_fail,
+  cast(sum(q) as bigint) as l_quantity_range_fail, cast(sum(d) as bigint) as l_discount_range_fail,
+  cast(sum(f) as bigint) as l_returnflag_allowed_fail, cast(sum(q + d + f) as bigint) as dq_fail,
+  cast(sum(case when q + d + f > 0 then 1 else 0 end) as bigint) as rows_with_any_failure
+from (
+  select *, case when l_quantity < 1 or l_quantity > 45 then 1 else 0 end as q,
+    case when l_discount > cast(0.09 as double) then 1 else 0 end as d,
+    case when l_returnflag not in ('A', 'N') then 1 else 0 end as f
+  from lineitem) t
+group by l_linestatus""",
+    "orders_priority_share": f"""
+select o_orderpriority, cast(dayofweek(o_orderdate) + 1 as int) as day_of_week,
+  count(*) as orders,
+  {_r('100.0 * count(*) / sum(count(*)) over (partition by dayofweek(o_orderdate))')}
+    as percentage
+from orders group by o_orderpriority, dayofweek(o_orderdate)""",
+    "orders_zscore_daily": f"""
+select bucket, event_count, {_r('(event_count - m) / nullif(s, 0)')} as z_score
+from daily_orders,
+  (select avg(event_count) as m, stddev_pop(event_count) as s from daily_orders) t
+where abs((event_count - m) / nullif(s, 0)) >= 2.0""",
+    "orders_rolling_week": f"""
+select o_orderpriority, bucket, event_count,
+  {_r("""avg(event_count) over (partition by o_orderpriority order by bucket
+    rows between 6 preceding and current row)""")} as rolling_week
+from (
+  select s.o_orderpriority, s.bucket, cast(count(o.o_orderkey) as bigint) as event_count
+  from (select o_orderpriority, unnest(generate_series(
+          date_trunc('day', min(o_orderdate)), date_trunc('day', max(o_orderdate)),
+          interval '1 day')) as bucket
+        from orders group by o_orderpriority) s
+  left join orders o on o.o_orderpriority = s.o_orderpriority
+    and date_trunc('day', o.o_orderdate) = s.bucket
+  group by 1, 2) t""",
     # streams: the final state of each equals the batch result
     "stream_file_source": """
 select event_id, event_type, timestamp, patient_id, symptoms from raw""",

@@ -85,10 +85,11 @@ def _stream(spark, sf_dir):
 
 
 def _run(df, sink, name, **kw):
-    """Run a stream over what there is now."""
+    """Run a stream over what there is now, with one state partition per core of the cluster."""
     spark = df.sparkSession
     streams.start_stream(
-        df, sink, name, run_dir(spark, f"{name}-checkpoint"), trigger="availableNow", **kw
+        df, sink, name, run_dir(spark, f"{name}-checkpoint"), trigger="availableNow",
+        state_partitions=spark.sparkContext.defaultParallelism, **kw,
     ).awaitTermination()
 
 
@@ -759,6 +760,51 @@ def table_freshness(spark, sf_dir):
     )
 
 
+# -- the same operators on other tables ----------------------------------------------------------
+
+LINEITEM_RULES = {
+    "l_quantity": {"min": 1, "max": 45},
+    "l_discount": {"max": 0.09},
+    "l_returnflag": {"allowed": ["A", "N"]},
+}
+ORDERS_SCHEMA = "o_orderkey bigint, o_orderdate timestamp, o_orderpriority string"
+
+
+def _orders(spark, sf_dir):
+    return spark.read.schema(ORDERS_SCHEMA).parquet(A.table_path(sf_dir, "orders"))
+
+
+@query
+def lineitem_dq_metrics(spark, sf_dir):
+    lines = spark.read.parquet(A.table_path(sf_dir, "lineitem"))
+    flagged = quality.validate(lines, LINEITEM_RULES, tuple(LINEITEM_RULES))
+    return quality.dq_metrics(flagged, ["l_linestatus"], stamp_time=False)
+
+
+@query
+def orders_priority_share(spark, sf_dir):
+    counts = (
+        projections.with_time_parts(_orders(spark, sf_dir), "o_orderdate")
+        .groupBy("o_orderpriority", "day_of_week").agg(F.count("*").alias("orders"))
+    )
+    return analytics.share_of_total(counts, "orders", ["day_of_week"])
+
+
+@query
+def orders_zscore_daily(spark, sf_dir):
+    daily = timeseries.bucket_counts(_orders(spark, sf_dir), "o_orderdate", "1 day", fill=False)
+    return anomaly.zscore_anomalies(daily, "event_count", threshold=2.0)
+
+
+@query
+def orders_rolling_week(spark, sf_dir):
+    by = ["o_orderpriority"]
+    daily = timeseries.bucket_counts(_orders(spark, sf_dir), "o_orderdate", "1 day", by)
+    return timeseries.trailing_mean(
+        daily, ["bucket"], "event_count", 7, by, "1 day", "rolling_week"
+    )
+
+
 # -- streams -------------------------------------------------------------------------------------
 
 
