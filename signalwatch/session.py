@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="signalwatch-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    """One temporary folder per process, for local sessions."""
+    return tempfile.mkdtemp(prefix="signalwatch-")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

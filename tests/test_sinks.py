@@ -176,6 +176,17 @@ def test_cluster_without_shared_folder_is_an_error():
         shared_dir(Session())
 
 
+def test_local_session_without_shared_folder_uses_a_temporary_one():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master = "local[2]"
+
+    assert shared_dir(Session()) == shared_dir(Session()) and os.path.isdir(shared_dir(Session()))
+
+
 def test_session_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with session_conf(spark, {"spark.sql.shuffle.partitions": "99", "x.y": "1"}):
