@@ -140,8 +140,9 @@ def baseline_predictions(
     """Forecast each row from its series: the mean of the ``k`` rows before it (``lagged``).
 
     ``trailing_inclusive`` also averages the row itself in; it knows the answer and is there only for
-    comparison.
+    comparison.  Rows without a place in the series or without a value are left out first.
     """
+    df = drop_null_keys(df, [*order, target])
     if kind == "lagged":
         scored = lagged_mean(df, order, target, k, by, name="event_count_pred")
     elif kind == "trailing_inclusive":

@@ -94,6 +94,15 @@ def test_metrics_and_comparison(spark):
     ]
 
 
+def test_baseline_leaves_rows_without_a_place_out(spark):
+    df = spark.createDataFrame(
+        [(None, None, 99.0), (1, 0, 1.0), (1, 1, 3.0), (1, 2, None), (1, 3, 5.0)],
+        "day_of_week int, hour_of_day int, event_count double",
+    )
+    got = forecast.baseline_predictions(df, "lagged", 2).collect()
+    assert [(r.hour_of_day, r.event_count_pred) for r in got] == [(3, 2.0)]
+
+
 def test_unknown_baseline(patterns):
     with pytest.raises(ValueError):
         forecast.baseline_predictions(patterns, "oracle")
