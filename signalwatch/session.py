@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
@@ -24,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return _local_dir()
 
@@ -40,6 +43,26 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/signalwatch/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as ``--py-files`` would."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
+    home = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(home)
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, files in os.walk(home):
+            for file in files:
+                if file.endswith(".py"):
+                    whole = os.path.join(folder, file)
+                    packed.write(whole, os.path.join(name, os.path.relpath(whole, home)))
+    spark.sparkContext.addPyFile(path)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Set SQL settings for the duration of a block, then put the old values back."""
