@@ -35,7 +35,7 @@ from signalwatch.llm.common import col, fresh, mix, seeds, slices
 
 NO_RANK = np.int32(2**31 - 1)
 #: Bytes of text that are encoded at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: UTF-8 of white space beyond ASCII.
 FAR_SPACE = re.compile(
     b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
@@ -309,8 +309,8 @@ class Encoder:
             keep = ~space
             at, foreign, sizes = at[keep], foreign[keep], sizes[keep]
         with np.errstate(over="ignore"):
-            while len(POWERS[0]) < len(raw):
-                POWERS[0], POWERS[1] = _powers(2 * len(POWERS[0])), _powers(2 * len(POWERS[0]), True)
+            if len(POWERS[0]) < len(raw):
+                POWERS[0], POWERS[1] = _powers(len(raw) + (1 << 18)), _powers(len(raw) + (1 << 18), True)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(SALTS[own] * POWERS[0][: len(raw)])])
             key = mix((sums[at + sizes] - sums[at]) * POWERS[1][at] + sizes.astype(np.uint64) * STEP)
         _, chosen, which = np.unique(key, return_index=True, return_inverse=True)
@@ -472,18 +472,8 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
-def with_ids(
-    docs: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None
-) -> DataFrame:
-    """The rows with the text's ids, an array of integers, in a further column.
-
-    ``path`` names the tokenizer file on every executor; ``keep`` the columns to return, all if not given.
-    A clash of ``out`` with a column lengthens it.
-    """
-    keep = docs.columns if keep is None else keep
-    docs = docs.select(*map(col, keep), col(text).alias(fresh(docs, "text_in")[0]))
-    [name] = fresh(docs.select(*map(col, keep)), out)
-    at = len(keep)
+def _encoded(path: str, at: int):
+    """For batches with a text at ``at``, the columns before it and the ids."""
 
     def run(batches):
         own = encoder(path)
@@ -491,27 +481,64 @@ def with_ids(
             for batch in slices(whole, at, SLICE):
                 ids, ends = own.encode_all(batch.column(at))
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:at], made], names=[*keep, name])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], made], names=[*batch.schema.names[:at], "ids"])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields[:at]).add(name, ArrayType(IntegerType())))
+    return run
 
 
-def with_text(
-    rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None
-) -> DataFrame:
-    """The rows with the ids' text in a further column; null ids give an empty text."""
-    keep = rows.columns if keep is None else keep
-    rows = rows.select(*map(col, keep), col(ids).alias(fresh(rows, "ids_in")[0]))
-    [name] = fresh(rows.select(*map(col, keep)), out)
-    at = len(keep)
+def _decoded(path: str, at: int, keep_ids: bool):
+    """For batches with ids at ``at``, the columns before it, the ids if wanted, and the text."""
 
     def run(batches):
-        own = decoder(path)
+        own, last = decoder(path), at + keep_ids
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 texts = [own.decode(i or ()) for i in batch.column(at).to_pylist()]
-                made = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:at], made], names=[*keep, name])
+                columns = [*batch.columns[:last], pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:last], "decoded"])
+
+    return run
+
+
+def _prepared(rows: DataFrame, value: str, keep: list[str] | None, *outs: str) -> tuple[DataFrame, StructType, list[str]]:
+    """Columns to keep and the value behind them; the kept columns' schema; names of the new columns."""
+    keep = rows.columns if keep is None else keep
+    rows = rows.select(*map(col, keep), col(value).alias(fresh(rows, "value_in")[0]))
+    kept = StructType(rows.schema.fields[:-1])
+    return rows, kept, fresh(rows.select(*map(col, keep)), *outs)
 
-    return rows.mapInArrow(run, StructType(rows.schema.fields[:at]).add(name, "string"))
+
+def _named(run, schema: StructType):
+    """The batches with the schema's names."""
+    names = schema.names
+    return lambda batches: (pa.RecordBatch.from_arrays(b.columns, names=names) for b in run(batches))
+
+
+def with_ids(docs: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The rows with the text's ids, an array of integers, in a further column.
+
+    ``path`` names the tokenizer file on every executor; ``keep`` the columns to return, all if not given.
+    A clash of ``out`` with a column lengthens it.
+    """
+    rows, schema, [name] = _prepared(docs, text, keep, out)
+    run = _encoded(path, len(schema))
+    schema = schema.add(name, ArrayType(IntegerType()))
+    return rows.mapInArrow(_named(run, schema), schema)
+
+
+def with_text(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """The rows with the ids' text in a further column; null ids give an empty text."""
+    rows, schema, [name] = _prepared(rows, ids, keep, out)
+    run = _decoded(path, len(schema), False)
+    schema = schema.add(name, "string")
+    return rows.mapInArrow(_named(run, schema), schema)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The rows with ``ids`` and the text ``decoded`` from these, in one pass of one worker per task."""
+    rows, schema, names = _prepared(docs, text, keep, "ids", "decoded")
+    at = len(schema)
+    encode, decode = _encoded(path, at), _decoded(path, at, True)
+    schema = schema.add(names[0], ArrayType(IntegerType())).add(names[1], "string")
+    return rows.mapInArrow(_named(lambda batches: decode(encode(batches)), schema), schema)

@@ -5,15 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, token_files
+from signalwatch.llm import bpe, line_dedup, minhash, mixing, token_files, toxicity
 from signalwatch.llm.common import table
 
 
 def op2_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = bpe.with_ids(docs, path, keep=["doc_id"])
-    return bpe.with_text(rows, path).select(
+    return bpe.round_trip(docs, path, keep=["doc_id"]).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -21,20 +20,66 @@ def op2_bpe(spark, sf_dir):
     )
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_scores(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_line_dedup(spark, sf_dir):
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_mixing(spark, sf_dir):
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    # rows that agree in doc_id, source and size each give a row
+    return plan.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
 def op9_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     root, shards, keys = token_files.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return token_files.read_ids(root, shards, keys, digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_line_dedup, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op8_mixing, op9_token_files)}
 
 ORACLES = {
+    "op5_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM documents
+            UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+        least_of AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) JOIN least_of ON x = doc_id
+    """,
     "op4_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
