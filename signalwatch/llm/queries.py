@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, minhash, mixing, token_files, toxicity
+from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, token_files, toxicity, url_templates
 from signalwatch.llm.common import table
 
 
+def op1_url_templates(spark, sf_dir):
+    return url_templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op2_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,7 +58,18 @@ def op9_token_files(spark, sf_dir):
     return token_files.read_ids(root, shards, keys, digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op8_mixing, op9_token_files)}
+def op10_secret_scan(spark, sf_dir):
+    rows = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x.rank < len(secret_scan.BASE))
+    return rows.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op8_mixing, op9_token_files, op10_secret_scan)}
 
 ORACLES = {
     "op5_minhash": r"""
