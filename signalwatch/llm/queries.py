@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, token_files, toxicity, url_templates
+from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, subspace_join, token_files, toxicity, url_templates
 from signalwatch.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op5_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_subspace_join(spark, sf_dir):
+    return subspace_join.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_mixing(spark, sf_dir):
     plan = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     # rows that agree in doc_id, source and size each give a row
@@ -69,9 +73,27 @@ def op10_secret_scan(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op8_mixing, op9_token_files, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan)}
 
 ORACLES = {
+    "op7_subspace_join": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+        fit AS (
+            SELECT vec_id, v FROM vectors
+            WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND list_dot_product(v, v) > 0),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM fit a JOIN fit b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+        counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+        reach AS (
+            SELECT vec_id AS x, vec_id AS y FROM vectors
+            UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+        least_of AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM vectors LEFT JOIN counts ON counts.x = vec_id JOIN least_of ON least_of.x = vec_id
+    """,
     "op5_minhash": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
