@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, subspace_join, token_files, toxicity, url_templates
+from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, simhash, subspace_join, token_files, toxicity, url_templates
 from signalwatch.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op5_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_simhash(spark, sf_dir):
+    return simhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_subspace_join(spark, sf_dir):
     return subspace_join.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -73,7 +77,7 @@ def op10_secret_scan(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op6_simhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan)}
 
 ORACLES = {
     "op7_subspace_join": """
