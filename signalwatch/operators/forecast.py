@@ -31,10 +31,6 @@ MODELS = {
     ),
 }
 
-# A training table of at most this many rows is fitted in one partition: the hundreds of small jobs
-# of a tree model then cost one task each.  Larger tables keep their partitions.
-SINGLE_PARTITION_ROWS = 50_000
-
 
 def forecast_features(df: DataFrame) -> DataFrame:
     """Numeric features and the target; rows with a missing key, patient count or target go."""
@@ -61,17 +57,20 @@ def split_by_key(
 
 def fit_forecast(
     train: DataFrame, kind: str, features: list[str], params: dict | None = None,
-    target: str = "event_count",
+    target: str = "event_count", partitions: int = 8,
 ) -> PipelineModel | None:
-    """Fit one of ``MODELS``; no usable rows give no model."""
+    """Fit one of ``MODELS``; no usable rows give no model.
+
+    Tree models draw samples per partition.  Rows are therefore dealt by a hash of their features into
+    ``partitions`` and sorted in each, so a model depends on the rows and that number alone, not on
+    how the table was read.
+    """
     estimator, defaults = MODELS[kind]
-    rows = train.select(*features, F.col(target).cast("double").alias(target)).persist()
+    rows = train.select(*features, F.col(target).cast("double").alias(target))
+    rows = rows.repartition(partitions, *features).sortWithinPartitions(*features, target).persist()
     try:
-        count = rows.count()
-        if count == 0:
+        if rows.isEmpty():
             return None
-        if count <= SINGLE_PARTITION_ROWS:
-            rows = rows.coalesce(1)
         return Pipeline(
             stages=[
                 VectorAssembler(inputCols=features, outputCol="features"),
@@ -133,6 +132,24 @@ def predictions(
     )
 
 
+def against_mean(model: PipelineModel, train: DataFrame, test: DataFrame) -> DataFrame:
+    """The test rows with their truth, the numbers of rows, and whether the model's RMSE on them is below
+    that of the mean of the training rows."""
+    scored = predict(model, test)
+    mean = train.agg(F.avg("event_count").alias("mean"), F.count("*").alias("rows"))
+    error = F.col("event_count_true") - F.col("event_count_pred")
+    plain = F.col("event_count_true") - mean.select("mean").scalar()
+    totals = scored.select((error * error).alias("own"), (plain * plain).alias("plain")).agg(
+        F.count("*").alias("rows"), (F.sum("own") < F.sum("plain")).alias("beats_mean")
+    )
+    return scored.select(
+        F.col("day_of_week").cast("int"), F.col("hour_of_day").cast("int"), "event_count_true",
+        mean.select("rows").scalar().alias("train_rows"),
+        totals.select("rows").scalar().alias("test_rows"),
+        totals.select("beats_mean").scalar().alias("beats_mean"),
+    )
+
+
 def baseline_predictions(
     df: DataFrame, kind: str = "lagged", k: int = 3, by: list[str] = (),
     order: list[str] = KEYS, target: str = "event_count",
