@@ -53,9 +53,11 @@ def byte_symbols() -> list[str]:
 def lookahead(merges: list[tuple[str, str]]) -> int:
     """The sufficient lookahead of a merge list, in symbols of its tokens."""
     made: dict[str, tuple[int, str]] = {}  # token -> rank of its rule, left part
+    used: set[str] = set()
     for rank, (u, v) in enumerate(merges):
-        if u + v in made or made.get(u, (-1,))[0] >= rank or made.get(v, (-1,))[0] >= rank:
-            raise ValueError(f"merge {rank} makes a token anew or before its parts")
+        used |= {u, v}
+        if u + v in made or u + v in used:
+            raise ValueError(f"merge {rank} makes a token anew or behind a rule that needs it")
         made[u + v] = (rank, u)
     # per left part: ranks of its rules, and the largest shift up to each
     ranks: dict[str, list[int]] = {}

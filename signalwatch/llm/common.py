@@ -71,3 +71,17 @@ def seeds(n: int, start: int = 1) -> np.ndarray:
     """n fixed random 64-bit numbers."""
     with np.errstate(over="ignore"):
         return mix(np.arange(start, start + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def parts_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least index that each of n nodes reaches through the links (a, b)."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -9,10 +9,13 @@ place is filled for certain. Two sets agree in a place with probability their si
 independently. ``BANDS`` bands of ``ROWS`` places are the buckets: at similarity 0.75 a pair misses all of
 them once in four million times.
 
-Documents with equal sets form a class, of which one stands for all. Links: (1) each class is compared with the centre
-that it shares most buckets with, and the confirmed links are joined to components; (2) classes that share a
-bucket but are in different components are all compared. A bucket whose members are one component needs
-no further pairs, so a group of n near copies costs about n comparisons. Each comparison intersects the full sets.
+Documents with equal sets form a class, of which one stands for all. The centre of a bucket is its member that meets most
+others, over all its buckets; a class's family is the centre that it shares most buckets with. Links are looked for
+(1) between each class and its family's centre; (2) between the members of a family outside its main component
+and all members, by tiles of the family, as one product of incidence matrices per pair of tiles, which
+returns a star per connected part and no pairs; (3) between classes of different families that share a bucket. Components
+are formed after each step, and only pairs of different components are compared in the next, so no link between
+components is lost and a group of n near copies costs about n comparisons. All compare the full sets.
 
 Null texts have the empty set. Rows that share a doc_id are one node, linked through any of their texts. A null doc_id
 is never the smallest; a row that reaches no other id has its own as component. Repeated rows all stay.
@@ -21,11 +24,12 @@ is never the smallest; a row that reaches no other id has its own as component.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import col, fresh, mix, seeds, slices, stored
+from signalwatch.llm.common import col, fresh, mix, parts_of, seeds, slices, stored
 from signalwatch.llm.components import components
 
 SHINGLE = 5
@@ -164,6 +168,64 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
     return pairs.join(of_a, "a").join(of_b, "b").where(both * 100 >= either * similarity).select("a", "b")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many members each set on the left shares with each on the right."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right)]
+    rows = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    shared = np.intersect1d(*flat)
+    for start in range(0, len(shared), columns):
+        part = shared[start : start + columns]
+        sides = []
+        for values, row, x in zip(flat, rows, (left, right), strict=True):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            side = np.zeros((len(x), len(part)), np.float32)
+            side[row[hit], at[hit]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _family_links(families: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b) links between the members outside a family's main part and all its members, as stars."""
+    parts = families.groupBy("family", "part").agg(F.count("*").alias("m"))
+    open_ = parts.groupBy("family").agg(
+        F.max(F.struct("m", "part")).alias("main"), F.sum("m").alias("all"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    # tiles grow with the root of the family, between 128 and 4096 members
+    tile = F.greatest(F.lit(128.0), F.least(F.lit(4096.0), 4 * F.sqrt("all")))
+    open_ = stored(open_.select(
+        "family", F.col("main.part").alias("main"),
+        F.ceil(F.col("all") / tile).cast("int").alias("tiles"),
+        F.ceil((F.col("all") - F.col("main.m")) / tile).cast("int").alias("out_tiles"),
+    ), "minhash-families")
+    rows = families.join(open_, "family")
+    own, other = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("tiles")), F.pmod(F.xxhash64("cls", F.lit(2)), F.col("out_tiles"))
+    left = rows.select("cls", "part", "family", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("out_tiles") - 1)).alias("j"), F.lit(0).alias("side"))
+    right = rows.where("part <> main").select(
+        "cls", "part", "family", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), other.alias("j"), F.lit(1).alias("side")
+    )
+    tasks = left.withColumn("i", F.col("i").cast("int")).unionByName(right.withColumn("j", F.col("j").cast("int"))).join(sets, "cls")
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        sets_l, sets_r = left["shingles"].tolist(), right["shingles"].tolist()
+        both = common_counts(sets_l, sets_r)
+        size = np.array([len(x) for x in sets_l])[:, None] + np.array([len(x) for x in sets_r])[None, :]
+        linked = both * 100 >= (size - both) * similarity
+        linked &= left["part"].to_numpy()[:, None] != right["part"].to_numpy()[None, :]
+        i, j = np.nonzero(linked)
+        names = np.concatenate([left["cls"].to_numpy(), right["cls"].to_numpy()])
+        root = names[parts_of(len(names), i, j + len(left))]
+        apart = root != names
+        return pd.DataFrame({"a": names[apart], "b": root[apart]})
+
+    return tasks.groupBy("family", "i", "j").applyInPandas(meet, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of (doc_id, text)."""
     rows = stored(document_sketches(docs), "minhash-rows")
@@ -172,8 +234,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     )
     classes = stored(classes, "minhash-classes")
     buckets = classes.select("cls", "n", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("cls").alias("centre"), F.max("cls").alias("other"))
-    shared = shared.where("centre < other").drop("other")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     members = stored(buckets.join(shared, "bucket"), "minhash-members")
 
     # the texts of classes that share a bucket
@@ -183,26 +244,37 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     sets = document_sets(texts.join(wanted, "rep", "left_semi"))
     sets = stored(sets.dropDuplicates(["cls"]), "minhash-sets")
 
-    votes = members.where("cls <> centre").groupBy("cls", "centre").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("cls").agg(F.max(F.struct("votes", (-F.col("centre")).alias("neg"))).alias("best"))
-    stars = confirmed(best.select(F.col("cls").alias("a"), (-F.col("best.neg")).alias("b")), sets, similarity)
+    score = members.groupBy("cls").agg(F.sum("m").alias("score"))
+    scored = members.join(score, "cls")
+    centre = scored.groupBy("bucket").agg(F.max(F.struct("score", "cls")).alias("c"))
+    votes = members.select("bucket", "cls").join(centre, "bucket").groupBy("cls", "c").agg(F.count("*").alias("votes"))
+    best = votes.groupBy("cls").agg(F.max(F.struct("votes", "c")).alias("best"))
+    family = stored(best.select("cls", F.col("best.c.cls").alias("family")), "minhash-family")
+    stars = confirmed(family.where("cls <> family").select(F.col("cls").alias("a"), F.col("family").alias("b")), sets, similarity)
     same_id = rows.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("cls").alias("a"), F.collect_set("cls").alias("all")
     ).where(F.size("all") > 1).select("a", F.explode("all").alias("b"))
     known = stored(stars.unionByName(same_id), "minhash-stars")
 
-    labels = components(known, "minhash-parts")
-    placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "bucket", "cls", "n", F.coalesce("component", "cls").alias("part")
-    )
+    def with_parts(frame: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        labels = components(links, name).withColumnRenamed("node", "cls")
+        return frame.join(labels, "cls", "left").withColumn("part", F.coalesce("component", "cls")).drop("component")
+
+    found = _family_links(with_parts(family, known, "minhash-parts"), sets, similarity)
+    known = stored(known.unionByName(found), "minhash-known")
+
+    placed = with_parts(members.select("bucket", "cls", "n"), known, "minhash-parts").join(family, "cls")
     parts = placed.groupBy("bucket", "part").agg(F.count("*").alias("m"))
     main = parts.groupBy("bucket").agg(F.max(F.struct("m", "part")).alias("main"), F.count("*").alias("parts"))
     main = main.where("parts > 1").select("bucket", F.col("main.part").alias("main"))
     open_ = stored(placed.join(main, "bucket"), "minhash-open")
-    minor = open_.where("part <> main").select("bucket", F.col("cls").alias("x"), F.col("n").alias("n_x"), F.col("part").alias("part_x"))
+    minor = open_.where("part <> main").select(
+        "bucket", F.col("cls").alias("x"), F.col("n").alias("n_x"), F.col("part").alias("part_x"), F.col("family").alias("family_x")
+    )
     # a pair of different parts has a member outside the bucket's main part
     pairs = minor.join(open_, "bucket").where(
-        (F.col("part") != F.col("part_x")) & ((F.col("part") == F.col("main")) | (F.col("x") < F.col("cls")))
+        (F.col("part") != F.col("part_x")) & (F.col("family") != F.col("family_x"))
+        & ((F.col("part") == F.col("main")) | (F.col("x") < F.col("cls")))
         & (F.least("n", "n_x") * 100 >= F.greatest("n", "n_x") * similarity)
     )
     pairs = pairs.select(F.greatest("x", "cls").alias("a"), F.least("x", "cls").alias("b")).distinct()

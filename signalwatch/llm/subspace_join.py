@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import stored
+from signalwatch.llm.common import parts_of, stored
 from signalwatch.llm.components import components
 
 COSINE = 0.9
@@ -78,20 +78,6 @@ class Grid:
         return [tuple(s) for s in steps if tuple(s) >= (0,) * axes]
 
 
-def _parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least index that each of n nodes reaches through the links."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], least)
-        np.minimum.at(new, label[b], least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def compare(grid: Grid, block: int, left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of linked vectors that this block is the first to find."""
     own_l, own_r = left @ grid.rotation, right @ grid.rotation
@@ -216,7 +202,7 @@ def _join(classes: DataFrame, grid) -> DataFrame:
         every = left if same else pd.concat([left, right])
         size = every["size"].to_numpy()
         links = np.bincount(a, size[b + shift], len(every)) + np.bincount(b + shift, size[a], len(every))
-        root = every["cls"].to_numpy()[_parts(len(every), a, b + shift)]
+        root = every["cls"].to_numpy()[parts_of(len(every), a, b + shift)]
         hit = links > 0
         return pd.DataFrame({"cls": every["cls"].to_numpy()[hit], "links": links[hit].astype("int64"), "root": root[hit]})
 
