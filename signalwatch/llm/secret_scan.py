@@ -5,7 +5,7 @@ alternatives of sequences, and from these a Boolean query over trigrams: any of
 trigrams. The postings (trigram, document) hold the trigrams that the rules ask for; intersecting them gives a rule's
 candidates, and the expression itself decides on these. A rule whose literals give no trigram scans all texts.
 
-Trigrams are looked for in the lower-cased text (A-Z) and are lower-case themselves, so rules may ignore case.
+Trigrams are looked for in the lower-cased text and are lower-case themselves, so rules may ignore case.
 
 Null and empty texts have no spans. Spans count code points, the end is exclusive; per rule they are leftmost and
 don't overlap. Every row gives a row of its own text, rows that repeat or lack a doc_id included.
@@ -20,7 +20,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import LOWER, UPPER, stored
+from signalwatch.llm.common import stored
 
 #: Alternatives that a part of an expression may have before it counts as unknown.
 MANY = 16
@@ -112,12 +112,13 @@ def trigram_query(pattern: str) -> list[list[str]] | None:
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """(trigram, row_id) of the asked trigrams, from (row_id, text)."""
-    low = F.translate("text", UPPER, LOWER)
+    low = F.lower("text")
     held = F.filter(
         F.array(*[F.when(F.contains(F.col("low"), F.lit(g)), F.lit(g)) for g in grams]), lambda g: g.isNotNull()
     )
     rows = docs.select("row_id", low.alias("low")).select("row_id", held.alias("grams"))
-    return rows.select("row_id", F.explode("grams").alias("trigram"))
+    # outer: else the planner tests the arrays below this, where it would lower the text for each trigram
+    return rows.select("row_id", F.explode_outer("grams").alias("trigram")).where("trigram IS NOT NULL")
 
 
 def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
