@@ -26,23 +26,23 @@ ADVANCED_CONFIG = {
 
 LEVELS = ("LOW", "MEDIUM", "HIGH")
 
-# The wording of alert messages, line by line.
+# The wording of alert messages, line by line.
 TIME_LINE = "Time: %s"
 TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
-ADVANCED_TITLE = "[Advanced Alert] Unusual symptom activity detected"
-LOOKBACK_LINE = "Lookback window: last %d minutes (threshold=%d events)"
-LEVEL_LINE = "Assigned severity: %s"
-REGIONS_TITLE = "Regions with elevated activity:"
+ADVANCED_TITLE = "Symptom alert: more reports than usual"
+LOOKBACK_LINE = "Evaluated: %d minutes, from %d reports on"
+LEVEL_LINE = "Level: %s"
+REGIONS_TITLE = "Regions above the threshold:"
 REGION_LINE = "- %s: %d events (z=%s)"
-MIX_TITLE = "Severity mix in lookback window:"
+MIX_TITLE = "Shares by severity:"
 MIX_LINE = "- %s: %s%%"
-NO_MIX_LINE = "Severity mix: no data available."
-VOLUME_TITLE = "[Basic Alert] High visit volume detected"
-VOLUME_THRESHOLD_LINE = "Threshold: %d events / %d min"
+NO_MIX_LINE = "Shares by severity: none known."
+VOLUME_TITLE = "Volume alert: many reports"
+VOLUME_THRESHOLD_LINE = "Threshold: %d reports in %d minutes"
 VOLUME_REGIONS_TITLE = "Regions:"
-VOLUME_REGION_LINE = "- %s: %d events in last %d minutes"
-SHARE_TITLE = "[Basic Alert] High severe case share detected"
-SHARE_LINE = "Severe share: %s%% (threshold=%s%%)"
+VOLUME_REGION_LINE = "- %s: %d reports in %d minutes"
+SHARE_TITLE = "Severity alert: many severe reports"
+SHARE_LINE = "Severe: %s%% of reports (threshold %s%%)"
 
 _DAY_MICROS = 86_400_000_000
 
@@ -65,9 +65,11 @@ def share_alerts(
 
     ``df`` has one row per event, or counts of events in ``value``.
     """
+    window = F.window(t, width)
     shares = category_share(
-        df.where(F.col(t).isNotNull()).withColumn("window_start", F.window(t, width).start),
-        col, category, ["window_start"], value,
+        df.where(F.col(t).isNotNull())
+        .withColumns({"window_start": window.start, "window_end": window.end}),
+        col, category, ["window_start", "window_end"], value,
     )
     return at_least(shares, "percentage", threshold)
 
@@ -169,6 +171,11 @@ def advanced_alerts(
     )
     if cooldown_keys is not None:
         fired = apply_cooldown(fired, "window_end", cooldown_keys, config["cooldown_minutes"])
+    # the lists are made for the windows that fired only
+    ends = fired.select("window_end").distinct()
+    hot, severities = (
+        frame.join(ends, "window_end", "left_semi") for frame in (hot, severities)
+    )
     top = (
         top_regions(hot, config["top_n_regions"], value).withColumnRenamed(value, "events")
         .join(fired, ["window_start", "window_end"])
@@ -403,8 +410,8 @@ def format_volume_alert(
 
 
 def format_share_alert(
-    shares: DataFrame, threshold: float = SEVERE_SHARE_THRESHOLD, t: str = "window_start"
+    shares: DataFrame, threshold: float = SEVERE_SHARE_THRESHOLD, t: str = "window_end"
 ) -> DataFrame:
-    """Add the ``message`` of each severe-share alert."""
+    """Add the ``message`` of each severe-share alert, stamped with the end of its window."""
     share = F.format_string(SHARE_LINE, _fixed(F.col("percentage"), 1), F.lit(f"{threshold:.1f}"))
     return shares.withColumn("message", _message(SHARE_TITLE, _time_line(t), share))

@@ -12,9 +12,8 @@ from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, Timestam
 # series with one row per position.
 BLOCK = 4096
 
-# Columns that can only take this many values (NULL included).  A table keyed by such columns alone
-# has a fixed size, whatever the amount of data behind it.
-FIXED_DOMAINS = {"day_of_week": 8, "hour_of_day": 25}
+# Blocks whose offsets one window adds up.
+BLOCKS = 4096
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,10 +27,6 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_stat_{k}" for k in keys])
 
 
-def has_fixed_domain(order: list[str]) -> bool:
-    return all(name in FIXED_DOMAINS for name in order)
-
-
 def trailing(
     df: DataFrame,
     pos: str,
@@ -64,17 +59,16 @@ def trailing(
     )
 
 
-def number_rows(
+def number_places(
     df: DataFrame, order: list[str], by: list[str] = (), name: str = "_pos"
 ) -> DataFrame:
-    """Number each key's rows 1, 2, ... in order without putting a whole key into one task.
+    """Number each key's places 1, 2, ... in order; rows at one place share its number.
 
-    Rows are numbered within blocks (a day, or 4096 consecutive values, of the first order column) and
-    shifted by the number of rows in the key's earlier blocks, of which there is one row per block.
-    A series ordered by fixed-domain columns alone has a fixed length and is numbered directly.
+    Only the distinct places are numbered: rows that share a place, such as the events of an hour, are
+    combined before the shuffle.  Places are numbered within blocks (a day, or 4096 consecutive
+    values, of the first order column), and shifted by the places in the key's earlier blocks; these
+    offsets are themselves added up in groups of ``BLOCKS`` blocks, and then over the groups.
     """
-    if has_fixed_domain(order):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     lead = order[0]
     kind = df.schema[lead].dataType
     if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
@@ -83,17 +77,21 @@ def number_rows(
         block = F.floor(F.col(lead) / BLOCK)
     else:
         raise ValueError(f"the first order column must be a time or an integer: {lead}")
-    keys = [*by, "_chunk"]
-    chunked = df.withColumn("_chunk", block)
-    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        chunked.groupBy(*keys).agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .drop("_size")
-    )
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (
-        attach(chunked.withColumn("_local", local), before, keys)
-        .withColumn(name, F.col("_local") + F.col("_before"))
-        .drop("_chunk", "_local", "_before")
+    by, places = list(by), [*by, *[c for c in order if c not in by]]
+    chunked = df.select(*places).distinct().withColumns(
+        {"_chunk": block, "_group": F.floor(block / BLOCKS)}
     )
+    sizes = chunked.groupBy(*by, "_group", "_chunk").agg(F.count("*").alias("_size"))
+    groups = sizes.groupBy(*by, "_group").agg(F.sum("_size").alias("_total"))
+    before = Window.unboundedPreceding, -1
+    # one row per key and group of blocks
+    in_key = Window.partitionBy(*by).orderBy("_group").rowsBetween(*before)
+    groups = groups.withColumn("_base", F.coalesce(F.sum("_total").over(in_key), F.lit(0)))
+    in_group = Window.partitionBy(*by, "_group").orderBy("_chunk").rowsBetween(*before)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(in_group), F.lit(0)))
+    offsets = attach(sizes.drop("_size"), groups.drop("_total"), [*by, "_group"])
+    local = F.row_number().over(Window.partitionBy(*by, "_group", "_chunk").orderBy(*order))
+    numbered = attach(
+        chunked.withColumn("_local", local), offsets, [*by, "_group", "_chunk"]
+    ).select(*places, (F.col("_local") + F.col("_before") + F.col("_base")).alias(name))
+    return attach(df, numbered, places)

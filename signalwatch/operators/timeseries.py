@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalwatch.functions import bucket_number, bucket_start, seconds, z_score
-from signalwatch.operators.keyed import number_rows, trailing
+from signalwatch.operators.keyed import number_places, trailing
 
 
 def tumbling_counts(
@@ -129,11 +129,11 @@ def _positioned(
     """Add ``_pos``, the place of each row in its key's series.
 
     With ``width`` the first order column is a bucket time and its bucket number is the place, so
-    frames count buckets, present or not; this needs no shuffle.  Without, rows are numbered in order
-    and frames count rows.  Places are unique per key, so a frame over a range of places does for both.
+    frames count buckets, present or not; this needs no shuffle.  Without, the places that occur are
+    numbered in order.  Rows may share a place; a frame over a range of places holds all their rows.
     """
     if width is None:
-        return number_rows(df, order, by)
+        return number_places(df, order, by)
     return df.withColumn("_pos", bucket_number(order[0], width))
 
 
@@ -152,16 +152,17 @@ def lagged_mean(
     df: DataFrame, order: list[str], value: str, k: int, by: list[str] = (),
     width: str | None = None, name: str = "lagged_mean",
 ) -> DataFrame:
-    """Mean of the ``k`` places before the current one; rows with fewer before them are dropped."""
+    """Mean over the rows of the ``k`` places before the current one; rows that have fewer places with
+    rows before them are dropped."""
     return (
         trailing(
             _positioned(df, order, by, width), "_pos", k, list(by),
             {
                 name: lambda w: F.avg(value).over(w.rangeBetween(-k, -1)),
-                "_seen": lambda w: F.count("*").over(w.rangeBetween(-k, -1)),
+                "_seen": lambda w: F.collect_set("_pos").over(w.rangeBetween(-k, -1)),
             },
         )
-        .where(F.col("_seen") == k)
+        .where(F.size("_seen") == k)
         .drop("_pos", "_seen")
     )
 
@@ -184,15 +185,19 @@ def sustained(
     df: DataFrame, order: list[str], value: str, threshold: float, k: int, by: list[str] = (),
     width: str | None = None,
 ) -> DataFrame:
-    """Rows that end a run of ``k`` places in a row at or above the threshold."""
-    reached = F.when(F.col(value) >= threshold, 1).otherwise(0)
+    """Rows that end a run of ``k`` places in a row, all of whose rows are at or above the threshold."""
+    reached = F.coalesce(F.col(value) >= threshold, F.lit(False))
+    frame = -(k - 1), 0
     return (
         trailing(
             _positioned(df, order, by, width).withColumn("_hit", reached), "_pos", k - 1, list(by),
-            {"_run": lambda w: F.sum("_hit").over(w.rangeBetween(-(k - 1), 0))},
+            {
+                "_run": lambda w: F.collect_set("_pos").over(w.rangeBetween(*frame)),
+                "_all": lambda w: F.bool_and("_hit").over(w.rangeBetween(*frame)),
+            },
         )
-        .where(F.col("_run") == k)
-        .drop("_pos", "_hit", "_run")
+        .where(F.col("_all") & (F.size("_run") == k))
+        .drop("_pos", "_hit", "_run", "_all")
     )
 
 

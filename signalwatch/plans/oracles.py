@@ -488,7 +488,9 @@ from (
     range between interval '24 hours' preceding and interval '1 hour' preceding)) t""",
     "alert_volume": "select * from volume",
     "alert_severe_share": f"""
-select window_start, {_r('percentage')} as percentage from severe_days""",
+select window_start, window_start + interval '1 day' as window_end,
+  {_r('percentage')} as percentage
+from severe_days""",
     "alert_level": f"""
 select window_start, window_end, hot_regions, {_r('max_z')} as max_z, level from levels""",
     "alert_level_history": f"""
@@ -523,26 +525,26 @@ mix_lines as (
     chr(10) order by event_count desc, severity) as txt
   from mix group by 1)
 select l.window_end, l.level,
-  '[Advanced Alert] Unusual symptom activity detected' || chr(10)
+  'Symptom alert: more reports than usual' || chr(10)
   || 'Time: ' || strftime(l.window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
-  || 'Lookback window: last 1440 minutes (threshold=80 events)' || chr(10)
-  || 'Assigned severity: ' || l.level || chr(10) || chr(10)
-  || 'Regions with elevated activity:' || chr(10) || r.txt || chr(10) || chr(10)
-  || coalesce('Severity mix in lookback window:' || chr(10) || m.txt,
-              'Severity mix: no data available.') as message
+  || 'Evaluated: 1440 minutes, from 80 reports on' || chr(10)
+  || 'Level: ' || l.level || chr(10) || chr(10)
+  || 'Regions above the threshold:' || chr(10) || r.txt || chr(10) || chr(10)
+  || coalesce('Shares by severity:' || chr(10) || m.txt,
+              'Shares by severity: none known.') as message
 from levels l join fired f on f.t = l.window_end
 join region_lines r using (window_end) left join mix_lines m using (window_end)""",
     "alert_messages_basic": """
-select window_end, '[Basic Alert] High visit volume detected' || chr(10)
+select window_end, 'Volume alert: many reports' || chr(10)
   || 'Time: ' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
-  || 'Threshold: 100 events / 1440 min' || chr(10) || 'Regions:' || chr(10)
-  || string_agg('- ' || region || ': ' || event_count || ' events in last 1440 minutes', chr(10)
+  || 'Threshold: 100 reports in 1440 minutes' || chr(10) || 'Regions:' || chr(10)
+  || string_agg('- ' || region || ': ' || event_count || ' reports in 1440 minutes', chr(10)
        order by event_count desc, region) as message
 from volume group by window_end
 union all
-select window_start, '[Basic Alert] High severe case share detected' || chr(10)
-  || 'Time: ' || strftime(window_start, '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
-  || 'Severe share: ' || printf('%.1f', percentage) || '% (threshold=16.0%)'
+select window_start + interval '1 day', 'Severity alert: many severe reports' || chr(10)
+  || 'Time: ' || strftime(window_start + interval '1 day', '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
+  || 'Severe: ' || printf('%.1f', percentage) || '% of reports (threshold 16.0%)'
 from severe_days""",
     "alert_multi_metric": f"""
 select d.window_start, d.window_end, d.region, d.event_count, {_r('d.z_score')} as z_score,
@@ -703,12 +705,8 @@ select event_id, event_type, timestamp, patient_id, symptoms from raw""",
     "stream_dq": f"select {_FLAG_SUMS} from flags",
     "stream_windowed_counts": """
 select bucket as window_start, bucket + interval '1 hour' as window_end, region, event_count
-from hourly_region
-where bucket + interval '1 hour'
-  <= (select max(ts) from events) - interval '10 minutes'""",
-    "stream_sliding_counts": """
-select * from covering
-where window_end <= (select max(ts) from events) - interval '10 minutes'""",
+from hourly_region""",
+    "stream_sliding_counts": "select * from covering",
     "stream_dedup": "select event_id, event_timestamp, symptoms from symptoms",
     "stream_cooldown": f"""{_FIRED_REGIONS}
 select v.region, v.window_end, v.event_count

@@ -532,9 +532,7 @@ def alert_messages_basic(spark, sf_dir):
     severe = alerts.share_alerts(
         hourly, "bucket", "1 day", threshold=16, value="event_count"
     )
-    share = alerts.format_share_alert(severe, 16.0).select(
-        F.col("window_start").alias("window_end"), "message"
-    )
+    share = alerts.format_share_alert(severe, 16.0).select("window_end", "message")
     return volume.unionByName(share)
 
 
@@ -847,7 +845,7 @@ def stream_symptom_by_region(spark, sf_dir):
     out = run_dir(spark, "stream_symptom_by_region")
     _run(
         analytics.symptom_by_region(A.symptom_reports(_stream(spark, sf_dir))),
-        sinks.snapshot_sink(out, files=1), "stream_symptom_by_region", mode="complete",
+        sinks.snapshot_sink(out, 1_000_000), "stream_symptom_by_region", mode="complete",
     )
     return sinks.read_snapshot(spark, out)
 
@@ -865,28 +863,29 @@ def stream_dq(spark, sf_dir):
     )
 
 
-@query
-def stream_windowed_counts(spark, sf_dir):
-    out = run_dir(spark, "stream_windowed_counts")
+def _hourly_stream(spark, sf_dir, name):
+    """Counts per hour and region, each window's newest count once the stream has ended."""
+    out = run_dir(spark, name)
     _run(
         streams.windowed_stream(
             A.symptom_reports(_stream(spark, sf_dir)), T, "1 hour", ["region"], "10 minutes"
         ),
-        sinks.append_sink(out, files=8), "stream_windowed_counts",
+        sinks.append_sink(out, 1_000_000), name, mode="update",
     )
-    return sinks.read_history(spark, out).drop("batch_id")
+    return sinks.read_latest(spark, out, ["window_start", "window_end", "region"])
+
+
+@query
+def stream_windowed_counts(spark, sf_dir):
+    return _hourly_stream(spark, sf_dir, "stream_windowed_counts")
 
 
 @query
 def stream_sliding_counts(spark, sf_dir):
-    out = run_dir(spark, "stream_sliding_counts")
-    _run(
-        streams.sliding_stream(
-            A.symptom_reports(_stream(spark, sf_dir)), T, "6 hours", "1 hour", ["region"]
-        ),
-        sinks.append_sink(out, files=8), "stream_sliding_counts",
+    hourly = _hourly_stream(spark, sf_dir, "stream_sliding_counts")
+    return timeseries.sliding_counts(
+        hourly, "window_start", "6 hours", "1 hour", ["region"], "event_count", every_slide=True
     )
-    return sinks.read_history(spark, out).drop("batch_id")
 
 
 @query

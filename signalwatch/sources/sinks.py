@@ -6,7 +6,9 @@ same batch is written twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,47 +18,67 @@ from signalwatch.session import run_dir, session_conf
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
+    """The file system and path object of a folder."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 # -- snapshots -----------------------------------------------------------------------------------
 
 
-def _in_files(df: DataFrame, files: int | None) -> DataFrame:
-    """Rows in at most that many files; adaptive execution does not merge a stream's partitions."""
-    return df if files is None else df.repartition(files)
-
-
-def snapshot_sink(path: str, files: int | None = None) -> BatchSink:
-    """Replace a table on each batch without a moment in which readers find it empty.
-
-    Batches alternate between two folders, so the one being rewritten is never the newest complete one
-    and storage stays at two snapshots.  ``files`` keeps a small table that many state partitions hold
-    from becoming as many tiny files.
+@contextmanager
+def _in_files(df: DataFrame, rows_per_file: int | None) -> Iterator[DataFrame]:
+    """Rows in files of about that many; adaptive execution does not merge a stream's partitions."""
+    if rows_per_file is None:
+        yield df
+        return
+    kept = df.persist()
+    try:
+        yield kept.repartition(max(1, -(-kept.count() // rows_per_file)))
+    finally:
+        kept.unpersist()
+
+
+def snapshot_sink(
+    path: str, rows_per_file: int | None = None, grace_seconds: int = 3600
+) -> BatchSink:
+    """Replace a table on each batch without a moment in which readers find it empty, stale or half
+    written.
+
+    Each batch is written to a folder of its own; a marker file that names the folder follows when it
+    is complete, and readers read the folder of the newest marker only.  An empty batch is a snapshot
+    too.  A replayed batch gets a folder and marker of its own.  Snapshots before the newest are kept for
+    ``grace_seconds`` for readers that are still at them.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        (
-            _in_files(df, files).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .parquet(f"{path}/slot={batch_id % 2}")
-        )
+        spark, name = df.sparkSession, f"{batch_id:020d}-{uuid.uuid4().hex}"
+        with _in_files(df, rows_per_file) as rows:
+            rows.write.parquet(f"{path}/{name}")
+        fs, marks = _folder(spark, f"{path}/_done")
+        fs.mkdirs(marks)
+        new = _folder(spark, f"{path}/_done/{name}")[1]
+        fs.create(new, True).close()
+        # by the file system's own clock
+        now = fs.getFileStatus(new).getModificationTime()
+        for mark in fs.listStatus(marks):
+            old = mark.getPath().getName()
+            if old < name and now - mark.getModificationTime() > grace_seconds * 1000:
+                fs.delete(mark.getPath(), False)
+                fs.delete(_folder(spark, f"{path}/{old}")[1], True)
 
     return write
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete snapshot written by ``snapshot_sink``."""
-    slots = [f"{path}/slot={n}" for n in (0, 1)]
-    done = [slot for slot in slots if _exists(spark, f"{slot}/_SUCCESS")]
-    if not done:
+    fs, marks = _folder(spark, f"{path}/_done")
+    names = [m.getPath().getName() for m in fs.listStatus(marks)] if fs.exists(marks) else []
+    if not names:
         raise FileNotFoundError(f"no complete snapshot under {path}")
-    both = spark.read.parquet(*done)
-    newest = both.agg(F.max("batch_id").alias("b"))
-    return both.where(F.col("batch_id") == newest.select("b").scalar()).drop("batch_id")
+    return spark.read.parquet(f"{path}/{max(names)}")
 
 
 def jdbc_snapshot_sink(options: dict[str, str]) -> BatchSink:
@@ -84,11 +106,12 @@ def feature_table(df: DataFrame, name: str) -> DataFrame:
 # -- history -------------------------------------------------------------------------------------
 
 
-def append_sink(path: str, files: int | None = None) -> BatchSink:
+def append_sink(path: str, rows_per_file: int | None = None) -> BatchSink:
     """Append each batch to a history table; a replayed batch replaces its own partition."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        _in_files(df, files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        with _in_files(df, rows_per_file) as rows:
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -103,6 +126,14 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last state of each key in a history of changed rows, as update mode writes them."""
+    history = read_history(spark, path)
+    values = [c for c in history.columns if c not in (*keys, "batch_id")]
+    last = history.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in values])
+
+
 def append_to_table(df: DataFrame, table: str, run_id: str) -> None:
     """Append one run to a catalog table partitioned by ``run_id``, creating the table if needed."""
     spark = df.sparkSession

@@ -75,7 +75,9 @@ def start_symptom_job(
         name = "data_quality_metrics"
         queries.append(
             start_dq_stream(
-                events, sinks[name], name, f"{checkpoint_root}/{name}", rules, trigger
+                events, sinks[name], name, f"{checkpoint_root}/{name}", rules, trigger,
+                decoded=[c for c in ("event_id", "event_type", "region", "timestamp") if c in events.columns],
+                text_time="timestamp" if {"timestamp", "event_timestamp"} <= set(events.columns) else None,
             )
         )
     return queries
@@ -106,11 +108,17 @@ def run_basic_alerts(
     severe_share: float = alerts.SEVERE_SHARE_THRESHOLD,
 ) -> DataFrame:
     """Messages of one evaluation: regions with many events and a high share of severe ones."""
-    recent = analytics.lookback(events, t, minutes, as_of)
-    end = recent.agg(F.max(t).alias("end")).select("end").scalar() if as_of is None else F.lit(as_of)
-    regions = recent.groupBy("region").agg(F.count("*").alias("event_count"))
+    # one small table of counts, from one pass over the recent events, gives both kinds of alerts
+    counts = feature_table(
+        analytics.lookback(events, t, minutes, as_of).groupBy("region", "severity").agg(
+            F.count("*").alias("event_count"), F.max(t).alias("newest")
+        ),
+        "recent_counts",
+    )
+    end = counts.agg(F.max("newest").alias("end")).select("end").scalar() if as_of is None else F.lit(as_of)
+    regions = counts.groupBy("region").agg(F.sum("event_count").alias("event_count"))
     hot = alerts.volume_alerts(regions, volume).withColumn("window_end", end)
-    share = analytics.category_share(recent, "severity", "severe")
+    share = analytics.category_share(counts, "severity", "severe", value="event_count")
     severe = share.where(F.col("percentage") >= severe_share).withColumn("window_end", end)
     return (
         alerts.format_volume_alert(hot, volume, minutes)

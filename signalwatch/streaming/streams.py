@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from signalwatch.operators.quality import DEFAULT_RULES, run_dq
+from signalwatch.operators.quality import DEFAULT_RULES, run_dq, schema_flags
 from signalwatch.operators.timeseries import tumbling_counts
 from signalwatch.session import ROCKSDB_PROVIDER, session_conf
 from signalwatch.sources.sinks import BatchSink
@@ -72,7 +72,13 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
 def windowed_stream(
     df: DataFrame, t: str, width: str, by: list[str] = (), lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Tumbling counts whose windows are final, and leave the state, once ``lateness`` has passed."""
+    """Tumbling counts whose windows leave the state once ``lateness`` has passed.
+
+    In append mode a window is written when it is final, so the newest are not written until later events
+    come.  In update mode every change is written; ``sinks.read_latest`` then has all windows at any
+    time, and sliding windows are sums over these (``timeseries.sliding_counts``), so that the state
+    holds each slide once.  Events later than the lateness are counted by ``late_rows``.
+    """
     return tumbling_counts(df.withWatermark(t, lateness), t, width, by)
 
 
@@ -100,6 +106,14 @@ def sliding_stream(
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were left out, as far as the query's progress is kept."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress for operator in progress.stateOperators
+    )
+
+
 def dedup_stream(df: DataFrame, key: str, t: str, lateness: str = "10 minutes") -> DataFrame:
     """Drop replayed events; ids are remembered for ``lateness`` of event time only."""
     return df.withWatermark(t, lateness).dropDuplicatesWithinWatermark([key])
@@ -107,11 +121,17 @@ def dedup_stream(df: DataFrame, key: str, t: str, lateness: str = "10 minutes")
 
 def start_dq_stream(
     df: DataFrame, sink: BatchSink, name: str, checkpoint: str, rules: dict = DEFAULT_RULES,
-    trigger: str | None = TRIGGER,
+    trigger: str | None = TRIGGER, decoded: list[str] | None = None, text_time: str | None = None,
 ) -> StreamingQuery:
-    """Store the quality metrics of each micro-batch, computed in one pass over it."""
+    """Store the quality metrics of each micro-batch, computed in one pass over it.
+
+    With ``decoded``, the columns that come out of decoding, undecodable rows are counted too, and with
+    ``text_time`` also times that could not be read.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if decoded:
+            batch = schema_flags(batch, decoded, text_time)
         sink(run_dq(batch, rules), batch_id)
 
     return start_stream(df, write, name, checkpoint, trigger=trigger)

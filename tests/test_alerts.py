@@ -80,16 +80,16 @@ def test_advanced_alert_text(spark):
     row = alerts.format_alert(found).first()
     assert row.level == "MEDIUM" and row.hot_regions == 2
     assert row.message == "\n".join([
-        "[Advanced Alert] Unusual symptom activity detected",
+        "Symptom alert: more reports than usual",
         "Time: 2024-01-01T00:00:00+00:00",
-        "Lookback window: last 5 minutes (threshold=100 events)",
-        "Assigned severity: MEDIUM",
+        "Evaluated: 5 minutes, from 100 reports on",
+        "Level: MEDIUM",
         "",
-        "Regions with elevated activity:",
+        "Regions above the threshold:",
         "- NE: 300 events (z=1.00)",
         "- NW: 100 events (z=-1.00)",
         "",
-        "Severity mix in lookback window:",
+        "Shares by severity:",
         "- None: 50.0%",
         "- mild: 37.5%",
         "- severe: 12.5%",
@@ -100,7 +100,7 @@ def test_single_hot_region_has_no_score(spark):
     found = alerts.advanced_alerts(_windows(spark, [("NE", 300)]), _mix(spark, []))
     row = alerts.format_alert(found).first()
     assert row.level == "LOW" and "- NE: 300 events (z=nan)" in row.message
-    assert row.message.endswith("Severity mix: no data available.")
+    assert row.message.endswith("Shares by severity: none known.")
 
 
 def test_history_scores_a_region_against_its_own_past(spark):
@@ -126,17 +126,17 @@ def test_minimum_level(spark):
 
 
 def test_percentages_round_ties_to_even(spark):
-    shares = spark.createDataFrame([(T0, 12.25), (T0, 12.75)], "window_start timestamp, percentage double")
+    shares = spark.createDataFrame([(T0, 12.25), (T0, 12.75)], "window_end timestamp, percentage double")
     got = sorted(r.message.split("\n")[2] for r in alerts.format_share_alert(shares).collect())
-    assert got == ["Severe share: 12.2% (threshold=40.0%)", "Severe share: 12.8% (threshold=40.0%)"]
+    assert got == ["Severe: 12.2% of reports (threshold 40.0%)", "Severe: 12.8% of reports (threshold 40.0%)"]
 
 
 def test_volume_message(spark):
     row = alerts.format_volume_alert(_windows(spark, [("b", 500), ("a", 700)])).first()
     assert row.message == "\n".join([
-        "[Basic Alert] High visit volume detected", "Time: 2024-01-01T00:00:00+00:00",
-        "Threshold: 500 events / 5 min", "Regions:",
-        "- a: 700 events in last 5 minutes", "- b: 500 events in last 5 minutes",
+        "Volume alert: many reports", "Time: 2024-01-01T00:00:00+00:00",
+        "Threshold: 500 reports in 5 minutes", "Regions:",
+        "- a: 700 reports in 5 minutes", "- b: 500 reports in 5 minutes",
     ])
 
 

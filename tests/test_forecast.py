@@ -66,10 +66,24 @@ def test_no_rows_no_model(patterns):
     assert forecast.fit_forecast(empty, "linear", forecast.FEATURES_2) is None
 
 
-def test_larger_tables_keep_their_partitions(spark, patterns, monkeypatch):
-    monkeypatch.setattr(forecast, "SINGLE_PARTITION_ROWS", 10)
+@pytest.mark.parametrize("kind,params", [("random_forest", {"numTrees": 5}), ("gbt", {"maxIter": 5})])
+def test_model_depends_on_the_rows_alone(patterns, kind, params):
+    train, test = forecast.split_by_key(forecast.forecast_features(patterns))
+    found = []
+    for n in (1, 4, 16):
+        model = forecast.fit_forecast(train.repartition(n), kind, forecast.FEATURES_5, params, partitions=3)
+        rows = forecast.predict(model, test).select("day_of_week", "hour_of_day", "event_count_pred")
+        found.append(sorted(map(tuple, rows.collect())))
+    assert found[0] == found[1] == found[2]
+
+
+def test_nothing_stays_cached_after_a_fit(spark, patterns):
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
     train, _ = forecast.split_by_key(forecast.forecast_features(patterns))
-    assert forecast.fit_forecast(train, "linear", forecast.FEATURES_2) is not None
+    forecast.fit_forecast(train, "linear", forecast.FEATURES_2)
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
 
 
 def test_predictions_carry_the_run(patterns):

@@ -92,7 +92,7 @@ def _series(spark, n, drop=()):
 
 def test_row_numbers_have_no_gaps_across_chunks(spark, small_blocks):
     drop = {3, 4, 5, 40, 41, 42, 43, 44, 45, 46, 47, 48, 49, 50}
-    got = keyed.number_rows(_series(spark, 100, drop), ["i"], ["k"]).collect()
+    got = keyed.number_places(_series(spark, 100, drop), ["i"], ["k"]).collect()
     kept = [i for i in range(100) if i not in drop]
     for key in ("a", "bb"):
         assert {r.i: r._pos for r in got if r.k == key} == {
@@ -102,13 +102,42 @@ def test_row_numbers_have_no_gaps_across_chunks(spark, small_blocks):
 
 def test_row_numbers_by_time(spark):
     df = _minutes(spark, range(0, 60 * 100, 37), "a")
-    got = keyed.number_rows(df, ["t"], ["k"]).orderBy("t").collect()
+    got = keyed.number_places(df, ["t"], ["k"]).orderBy("t").collect()
     assert [r._pos for r in got] == list(range(1, len(got) + 1))
 
 
+def test_rows_share_their_place(spark):
+    from signalwatch.operators import timeseries
+
+    df = spark.createDataFrame(
+        [("a", 0, 4.0), ("a", 0, 6.0), ("a", 1, 1.0), ("a", 2, 3.0), ("a", 5, 9.0)], "k string, i int, v double"
+    )
+    got = sorted((r.i, r._pos) for r in keyed.number_places(df, ["i"], ["k"]).collect())
+    assert got == [(0, 1), (0, 1), (1, 2), (2, 3), (5, 4)]
+    means = {r.i: r.m for r in timeseries.lagged_mean(df, ["i"], "v", 2, ["k"], name="m").collect()}
+    assert means == {2: 11 / 3, 5: 2.0}
+    hours = spark.createDataFrame(
+        [(f"2024-01-01 0{h}:00:00", v) for h, v in ((0, 4.0), (0, 6.0), (1, 1.0), (2, 3.0))], "t string, v double"
+    ).selectExpr("cast(t as timestamp) t", "v")
+    late = {r.t.hour: r.m for r in timeseries.lagged_mean(hours, ["t"], "v", 2, width="1 hour", name="m").collect()}
+    assert late == {2: 11 / 3}
+
+
+def test_rows_of_fixed_domains_are_not_gathered(spark):
+    from signalwatch.operators import timeseries
+
+    events = spark.range(1000).selectExpr(
+        "cast(id % 7 + 1 as int) day_of_week", "cast(id % 24 as int) hour_of_day", "cast(id as double) v"
+    )
+    order = ["day_of_week", "hour_of_day"]
+    plan = timeseries.trailing_mean(events, order, "v", 3)._jdf.queryExecution().executedPlan().toString()
+    # what remains without keys is one row per group of blocks
+    assert plan.count("SinglePartition") <= 1 and "partial_sum" in plan
+
+
 def test_row_numbers_need_an_orderable_lead(spark):
     with pytest.raises(ValueError):
-        keyed.number_rows(_series(spark, 3), ["k"])
+        keyed.number_places(_series(spark, 3), ["k"])
 
 
 def test_trailing_and_lagged_means_match_brute_force(spark, small_blocks):

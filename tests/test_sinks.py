@@ -14,26 +14,59 @@ def _df(spark, *values):
 
 def test_snapshot_replaces_and_is_repeatable(spark, rows, tmp_path):
     path = str(tmp_path / "t")
-    write = sinks.snapshot_sink(path)
+    write = sinks.snapshot_sink(path, grace_seconds=-1)
     with pytest.raises(FileNotFoundError):
         sinks.read_snapshot(spark, path)
     write(_df(spark, 1, 2), 0)
     assert rows(sinks.read_snapshot(spark, path)) == [(1,), (2,)]
-    for batch, values in [(1, [3]), (2, [4, 5]), (2, [4, 5]), (3, [6])]:
+    for batch, values in [(1, [3]), (2, [4, 5]), (2, [4, 5]), (10, [6])]:
         write(_df(spark, *values), batch)
         assert rows(sinks.read_snapshot(spark, path)) == [(v,) for v in values]
-    assert sorted(p for p in os.listdir(path)) == ["slot=0", "slot=1"]
+    assert len(os.listdir(f"{path}/_done")) <= 4
+
+
+def test_an_empty_batch_empties_the_snapshot(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.snapshot_sink(path, rows_per_file=10)
+    write(_df(spark, 1, 2, 3), 0)
+    write(_df(spark, 1).limit(0), 1)
+    assert sinks.read_snapshot(spark, path).count() == 0
+
+
+def test_a_reader_keeps_its_snapshot_during_later_writes(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.snapshot_sink(path)
+    write(_df(spark, 1), 0)
+    reader = sinks.read_snapshot(spark, path)
+    for batch in (1, 2, 3):
+        write(_df(spark, 9), batch)
+    assert rows(reader) == [(1,)]
 
 
 def test_unfinished_snapshot_is_not_read(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     write = sinks.snapshot_sink(path)
     write(_df(spark, 1), 0)
-    write(_df(spark, 2), 1)
-    os.remove(f"{path}/slot=1/_SUCCESS")
+    _df(spark, 2).write.parquet(f"{path}/{1:020d}-unfinished")
     assert rows(sinks.read_snapshot(spark, path)) == [(1,)]
 
 
+def test_files_follow_the_rows(spark, tmp_path):
+    for limit, files in ((None, None), (10, 1), (2, 3)):
+        path = str(tmp_path / f"t{limit}")
+        sinks.append_sink(path, limit)(_df(spark, *range(6)).repartition(6), 0)
+        found = [f for f in os.listdir(f"{path}/batch_id=0") if f.endswith(".parquet")]
+        assert files is None or len(found) == files
+
+
+def test_latest_state_of_each_key(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.append_sink(path)
+    for batch, changed in enumerate([[("a", 1), ("b", 1)], [("a", 3)], [("c", 2)]]):
+        write(spark.createDataFrame(changed, "k string, n int"), batch)
+    assert rows(sinks.read_latest(spark, path, ["k"]), "k", "n") == [("a", 3), ("b", 1), ("c", 2)]
+
+
 def test_append_replay_does_not_duplicate(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     write = sinks.append_sink(path)

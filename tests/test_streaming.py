@@ -209,8 +209,8 @@ def test_basic_alert_run(spark, source):
         _batch(spark, source), minutes=100, volume=1, severe_share=30.0
     ).collect()
     texts = "\n".join(r.message for r in got)
-    assert "- NE: 1 events in last 100 minutes" in texts
-    assert "Severe share: 33.3% (threshold=30.0%)" in texts
+    assert "- NE: 1 reports in 100 minutes" in texts
+    assert "Severe: 33.3% of reports (threshold 30.0%)" in texts
 
 
 def test_advanced_alert_run(spark, tmp_path):
@@ -223,7 +223,7 @@ def test_advanced_alert_run(spark, tmp_path):
     times = [r.window_end for r in fired]
     assert len(times) >= 2
     assert all(b - a >= timedelta(minutes=10) for a, b in zip(times, times[1:]))
-    assert all("(threshold=5 events)" in r.message for r in fired)
+    assert all("from 5 reports on" in r.message for r in fired)
 
 
 def test_anomaly_and_forecast_runs_append_once(spark, tmp_path):
