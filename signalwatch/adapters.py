@@ -26,6 +26,10 @@ _REGION = (
 _DIRTY_REGION = (
     f"case when event_id % 97 = 0 then null when event_id % 89 = 0 then 'XX' else {_REGION} end"
 )
+_SEVERITY = (
+    "case when value < 15 then 'mild' when value < 70 then 'moderate' "
+    "when value < 110 then 'severe' when value < 230 then 'critical' else 'unknown' end"
+)
 _K = "cast(get_json_object(props, '$.k') as int) as k"
 
 
@@ -48,9 +52,7 @@ def symptom_reports(source: DataFrame) -> DataFrame:
         "case when user_id % 2 = 0 then 'F' else 'M' end as gender",
         f"{_DIRTY_REGION} as region",
         "event_type as symptoms",
-        "case when value < 15 then 'mild' when value < 70 then 'moderate' "
-        "when value < 110 then 'severe' when value < 230 then 'critical' "
-        "else 'unknown' end as severity",
+        f"{_SEVERITY} as severity",
     )
 
 
@@ -82,7 +84,8 @@ def dq_events(source: DataFrame) -> DataFrame:
 
 
 def raw_messages(source: DataFrame) -> DataFrame:
-    """Untyped messages as a broker delivers them: one JSON document per row in ``value``."""
+    """Untyped messages as a broker delivers them: one JSON document per row in ``value``, with all fields
+    that producers write; the router adds the rest."""
     routed = F.col("event_type")
     for generic, route in ROUTE_OF.items():
         routed = F.when(F.col("event_type") == generic, route).otherwise(routed)
@@ -94,7 +97,11 @@ def raw_messages(source: DataFrame) -> DataFrame:
                 routed.alias("event_type"),
                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
                 F.col("user_id").cast("string").alias("patient_id"),
+                F.expr("cast(user_id % 90 as int)").alias("age"),
+                F.expr("case when user_id % 2 = 0 then 'F' else 'M' end").alias("gender"),
+                F.expr(_DIRTY_REGION).alias("region"),
                 F.col("event_type").alias("symptoms"),
+                F.expr(_SEVERITY).alias("severity"),
             )
         ).alias("value"),
     )

@@ -69,7 +69,9 @@ select cast(event_id as varchar) as event_id,
     when 'purchase' then 'clinic_visit' when 'error' then 'environmental_conditions'
     else event_type end as event_type,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, ts,
-  cast(user_id as varchar) as patient_id, event_type as symptoms
+  cast(user_id as varchar) as patient_id, event_type as symptoms,
+  case when event_id % 97 = 0 then null when event_id % 89 = 0 then 'XX'
+    else case user_id % 4 when 0 then 'NE' when 1 then 'NW' when 2 then 'SE' else 'SW' end end as region
 from events""",
     "scored": """
 select *, case severity when 'mild' then 1 when 'moderate' then 2 when 'severe' then 3
@@ -306,6 +308,20 @@ _TEST_ROWS = "where (day_of_week * 24 + hour_of_day) % 5 = 0"
 _FIRED_REGIONS = _cooldown("volume", "region")
 _FIRED_LEVELS = _cooldown("levels", "1")
 
+_ENV = {
+    "env_avg_temp": f"""
+select region, {_r('avg(temperature_f)')} as avg_temperature_f from env group by region""",
+    "env_air_quality": f"""
+select region, {_r('avg(air_quality_index)')} as avg_air_quality,
+  {_r('avg(pollen_count)')} as avg_pollen_count, {_r('avg(uv_index)')} as avg_uv_index
+from env group by region""",
+    "env_hourly": f"""
+select cast(hour(event_timestamp) as int) as hour_of_day,
+  {_r('avg(temperature_f)')} as average_temp, {_r('avg(humidity_percent)')} as average_humidity,
+  {_r('avg(wind_speed_mph)')} as average_windspeed
+from env group by 1""",
+}
+
 _QUERIES = {
     # sources and sinks
     "scan_parquet": f"select event_id, ts, {_r('value')} as value from events",
@@ -316,7 +332,7 @@ where region is not null and patient_id is not null""",
     "publish_payload": """
 select event_id as key,
   '{"event_id":"' || event_id || '","event_type":"' || event_type || '","patient_id":"'
-    || patient_id || '","region":null,"symptoms":"' || symptoms || '"}' as value,
+    || patient_id || '","region":' || coalesce('"' || region || '"', 'null') || ',"symptoms":"' || symptoms || '"}' as value,
   case event_type when 'symptom_report' then 'typed.symptom_reports'
     when 'clinic_visit' then 'typed.clinic_visits'
     else 'typed.environmental_conditions' end as topic
@@ -337,9 +353,9 @@ select event_id, event_type,
     then event_type else 'unmatched' end as route
 from raw""",
     "enrich_events": """
-select event_id, '2024-02-01 12:00:00' as processing_timestamp,
+select event_id, event_type, region, '2024-02-01 12:00:00' as processing_timestamp,
   'gateway' as event_source, 'team-a' as team_id
-from raw where event_type = 'symptom_report'""",
+from raw where event_type in ('symptom_report', 'clinic_visit', 'environmental_conditions')""",
     "parse_event_time": "select event_id, ts as event_timestamp from raw",
     "severity_score": "select event_id, severity, severity_score from scored",
     "symptoms_text": """
@@ -369,17 +385,9 @@ select *, {_r('100.0 * event_count / sum(event_count) over (partition by hour_of
   as percentage
 from by_hour""",
     "temporal_patterns": "select * from patterns",
-    "env_avg_temp": f"""
-select region, {_r('avg(temperature_f)')} as avg_temperature_f from env group by region""",
-    "env_air_quality": f"""
-select region, {_r('avg(air_quality_index)')} as avg_air_quality,
-  {_r('avg(pollen_count)')} as avg_pollen_count, {_r('avg(uv_index)')} as avg_uv_index
-from env group by region""",
-    "env_hourly": f"""
-select cast(hour(event_timestamp) as int) as hour_of_day,
-  {_r('avg(temperature_f)')} as average_temp, {_r('avg(humidity_percent)')} as average_humidity,
-  {_r('avg(wind_speed_mph)')} as average_windspeed
-from env group by 1""",
+    "env_avg_temp": _ENV["env_avg_temp"],
+    "env_air_quality": _ENV["env_air_quality"],
+    "env_hourly": _ENV["env_hourly"],
     "lookback_region_events": """
 select region, count(*) as event_count from symptoms
 where region is not null
@@ -474,6 +482,33 @@ select region, symptoms, event_count, {_r('avg_severity_score')} as avg_severity
   {_r('(event_count - m) / nullif(s, 0)')} as z_score
 from by_region, (select avg(event_count) as m, stddev_pop(event_count) as s from by_region) t
 where abs((event_count - m) / nullif(s, 0)) >= 1.2""",
+    "append_anomalies": f"""
+select region, symptoms, event_count, {_r('avg_severity_score')} as avg_severity_score,
+  {_r('(event_count - m) / nullif(s, 0)')} as z_score, 'run_a' as run_id
+from by_region, (select avg(event_count) as m, stddev_pop(event_count) as s from by_region) t
+where abs((event_count - m) / nullif(s, 0)) >= 1.2""",
+    "job_basic_alerts": """
+select window_end, 'Volume alert: many reports' || chr(10)
+  || 'Time: ' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
+  || 'Threshold: 20 reports in 1440 minutes' || chr(10) || 'Regions:' || chr(10)
+  || string_agg('- ' || region || ': ' || n || ' reports in 1440 minutes', chr(10)
+       order by n desc, region) as message
+from (
+  select region, count(*) as n, (select max(event_timestamp) from symptoms) as window_end
+  from symptoms where region is not null and event_timestamp
+    >= (select max(event_timestamp) from symptoms) - interval '1440 minutes'
+  group by region) r
+where n >= 20 group by window_end
+union all
+select window_end, 'Severity alert: many severe reports' || chr(10)
+  || 'Time: ' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' || chr(10)
+  || 'Severe: ' || printf('%.1f', percentage) || '% of reports (threshold 5.0%)'
+from (
+  select (select max(event_timestamp) from symptoms) as window_end,
+    100.0 * sum(case when severity = 'severe' then 1 else 0 end) / count(*) as percentage
+  from symptoms where event_timestamp
+    >= (select max(event_timestamp) from symptoms) - interval '1440 minutes') t
+where percentage >= 5""",
     "zscore_hourly": f"""
 select bucket, event_count, {_r('z_score')} as z_score from zhour where abs(z_score) >= 2.5""",
     "zscore_by_region": f"""
@@ -703,6 +738,9 @@ from (
 select event_id, event_type, timestamp, patient_id, symptoms from raw""",
     "stream_symptom_by_region": _BY_REGION,
     "stream_dq": f"select {_FLAG_SUMS} from flags",
+    "stream_env_avg_temp": _ENV["env_avg_temp"],
+    "stream_env_air_quality": _ENV["env_air_quality"],
+    "stream_env_hourly": _ENV["env_hourly"],
     "stream_windowed_counts": """
 select bucket as window_start, bucket + interval '1 hour' as window_end, region, event_count
 from hourly_region""",

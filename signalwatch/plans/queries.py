@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from signalwatch.operators import (
     alerts, analytics, anomaly, forecast, ingest, monitoring, projections, quality, timeseries,
 )
 from signalwatch.operators.projections import ordered
-from signalwatch.schemas import SYMPTOM_REPORT
+from signalwatch.schemas import ROUTES, SYMPTOM_REPORT
 from signalwatch.session import run_dir
 from signalwatch.sources import readers, sinks
-from signalwatch.streaming import streams
+from signalwatch.streaming import jobs, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -172,10 +173,11 @@ def route_events(spark, sf_dir):
 @query
 def enrich_events(spark, sf_dir):
     decoded = readers.decode_json(_raw(spark, sf_dir), SYMPTOM_REPORT)
-    branch = ingest.route(decoded)["symptom_report"]
+    branches = ingest.route(decoded)
     now = F.lit("2024-02-01 12:00:00").cast("timestamp")
-    return ingest.enrich(branch, "gateway", "team-a", now).select(
-        "event_id", "processing_timestamp", "event_source", "team_id"
+    rows = [ingest.enrich(branches[name], "gateway", "team-a", now) for name in ROUTES]
+    return reduce(DataFrame.unionByName, rows).select(
+        "event_id", "event_type", "region", "processing_timestamp", "event_source", "team_id"
     )
 
 
@@ -385,7 +387,7 @@ def _lags_as_double(df):
 def lag_features(spark, sf_dir):
     return _lags_as_double(
         timeseries.with_lags(
-            _pattern_counts(spark, sf_dir), ["day_of_week", "hour_of_day"], "event_count",
+            _patterns_table(spark, sf_dir).select("day_of_week", "hour_of_day", "event_count"), ["day_of_week", "hour_of_day"], "event_count",
             [1, 2, 3],
         )
     )
@@ -426,6 +428,24 @@ def zscore_anomalies(spark, sf_dir):
     return anomaly.zscore_anomalies(table, "event_count", threshold=1.2)
 
 
+@query
+def append_anomalies(spark, sf_dir):
+    table = sinks.feature_table(
+        analytics.symptom_by_region(_symptoms(spark, sf_dir)), "symptom_by_region"
+    )
+    out = run_dir(spark, "append_anomalies")
+    for _ in range(2):  # a repeated run replaces its own rows
+        jobs.run_anomalies(table, out, "run_a", threshold=1.2)
+    return sinks.read_history(spark, out).drop("detected_at")
+
+
+@query
+def job_basic_alerts(spark, sf_dir):
+    return jobs.run_basic_alerts(
+        _symptoms(spark, sf_dir), T, minutes=1440, volume=20, severe_share=5.0
+    )
+
+
 def _hourly(spark, sf_dir, by=()):
     return timeseries.bucket_counts(_symptoms(spark, sf_dir), T, "1 hour", list(by), fill=False)
 
@@ -757,7 +777,8 @@ def model_drift(spark, sf_dir):
 
 @query
 def anomaly_strength(spark, sf_dir):
-    scored = anomaly.with_zscore(_hourly(spark, sf_dir), "event_count")
+    hourly = sinks.feature_table(_hourly(spark, sf_dir), "hourly_counts")
+    scored = anomaly.with_zscore(hourly, "event_count")
     return monitoring.anomaly_strength(scored, "bucket", "1 day")
 
 
@@ -863,6 +884,33 @@ def stream_dq(spark, sf_dir):
     )
 
 
+def _env_stream(spark, sf_dir, name):
+    """One table of the environment job over what the stream has now."""
+    out = run_dir(spark, f"stream_{name}")
+    for started in jobs.start_environment_job(
+        A.environmental_conditions(_stream(spark, sf_dir)), {name: sinks.snapshot_sink(out, 1_000_000)},
+        run_dir(spark, f"stream_{name}-checkpoint"), trigger="availableNow",
+        state_partitions=spark.sparkContext.defaultParallelism,
+    ):
+        started.awaitTermination()
+    return sinks.read_snapshot(spark, out).drop("last_updated")
+
+
+@query
+def stream_env_avg_temp(spark, sf_dir):
+    return _env_stream(spark, sf_dir, "env_avg_temp")
+
+
+@query
+def stream_env_air_quality(spark, sf_dir):
+    return _env_stream(spark, sf_dir, "env_aqi_distribution")
+
+
+@query
+def stream_env_hourly(spark, sf_dir):
+    return _env_stream(spark, sf_dir, "env_hourly_temp")
+
+
 def _hourly_stream(spark, sf_dir, name):
     """Counts per hour and region, each window's newest count once the stream has ended."""
     out = run_dir(spark, name)

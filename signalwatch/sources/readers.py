@@ -82,11 +82,18 @@ def read_table(
     options: dict[str, str] | None = None,
     fmt: str | None = None,
     schema: StructType | str | None = None,
+    **ranges,
 ) -> DataFrame:
-    """Read a table: by catalog name, from files (``fmt`` and a path as ``name``) or over JDBC."""
+    """Read a table: by catalog name, from files (``fmt`` and a path as ``name``) or over JDBC.
+
+    A database table is read by as many tasks as ``ranges`` give: ``partition_column``, ``bounds`` and
+    ``partitions`` of ``read_jdbc``; without them by one.
+    """
     options = options or {}
     if fmt == "jdbc":
-        return read_jdbc(spark, {**options, "dbtable": name})
+        return read_jdbc(spark, {**options, "dbtable": name}, **ranges)
+    if ranges:
+        raise ValueError(f"only a database table is read in ranges: {sorted(ranges)}")
     if fmt is None:
         return spark.read.options(**options).table(name)
     reader = spark.read.format(fmt).options(**options)
