@@ -385,11 +385,9 @@ def _lags_as_double(df):
 
 @query
 def lag_features(spark, sf_dir):
+    counts = _patterns_table(spark, sf_dir).select("day_of_week", "hour_of_day", "event_count")
     return _lags_as_double(
-        timeseries.with_lags(
-            _patterns_table(spark, sf_dir).select("day_of_week", "hour_of_day", "event_count"), ["day_of_week", "hour_of_day"], "event_count",
-            [1, 2, 3],
-        )
+        timeseries.with_lags(counts, ["day_of_week", "hour_of_day"], "event_count", [1, 2, 3])
     )
 
 
