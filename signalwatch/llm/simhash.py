@@ -43,7 +43,7 @@ def fingerprints(rows: DataFrame, text: str, *keys: str) -> DataFrame:
     """The keys and f1, f2 (64 bits each); rows that agree in all keys must agree in the text."""
     hashed = rows.select(*keys, terms(F.col(text)).alias("words"))
     spread = hashed.select(*keys, F.explode_outer(pairs_of(F.col("words"))).alias("h1"))
-    spread = spread.withColumn("h2", F.xxhash64("h1", F.lit(11)))
+    spread = spread.withColumn("h2", F.when(F.col("h1").isNotNull(), F.xxhash64("h1", F.lit(11))))
     sums = [
         F.sum(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(LANES))).alias(f"{h}_{i}") for h in ("h1", "h2") for i in range(32)
     ]

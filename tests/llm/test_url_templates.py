@@ -52,7 +52,8 @@ def test_variable_segments_become_wildcards(spark):
     rows = [("h", f"/user/{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{chr(97 + i // 26)}/post{i}", None) for i in range(200)]
     rows += [("h", "/about", None)] * 30
     paths, found = tree(spark, rows)
-    assert paths[("h", "/user/aa/post0")] == "/user/*/post#" and paths[("h", "/about")] == "/{about|user}" or paths[("h", "/about")].endswith("about")
+    # both are without labels, so the branches are one
+    assert paths[("h", "/user/aa/post0")] == "/{about|user}/*/post#" and paths[("h", "/about")] == "/{about|user}"
     assert sum(r.n for r in found.values()) == 230
 
 
