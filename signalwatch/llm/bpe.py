@@ -35,7 +35,7 @@ from signalwatch.llm.common import col, fresh, mix, seeds, slices
 
 NO_RANK = np.int32(2**31 - 1)
 #: Bytes of text that are encoded at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: UTF-8 of white space beyond ASCII.
 FAR_SPACE = re.compile(
     b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"

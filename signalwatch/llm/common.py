@@ -44,7 +44,7 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch cut so that a slice's texts hold about ``limit`` bytes (one text at least)."""
     import pyarrow.compute as pc
 

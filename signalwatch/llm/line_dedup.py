@@ -47,14 +47,16 @@ def _halves(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0].copy(), both[:, 1].copy()
 
 
-def document_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc): the distinct line keys of each row."""
+def document_lines(docs: DataFrame, min_chars: int, known=None) -> DataFrame:
+    """(h1, h2, doc): the distinct line keys of each row, without those in ``known`` (a broadcast value)."""
 
     def run(batches):
         for batch in batches:
             keys, owners = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = {line_key(x, min_chars) for x in (text or "").encode().split(b"\n")} - {None}
+                if known is not None:
+                    own -= known.value.keys()
                 keys += own
                 owners += [doc] * len(own)
             if keys:
@@ -135,15 +137,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, out: str = "text")
     known = spark.sparkContext.broadcast(hot)
     shards = stored(build_shards(lines, n_shards), "line-shards")
 
-    def ask(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            h1, h2 = (table.column(i).to_numpy() for i in (0, 1))
-            raw = np.stack([h1, h2], 1).tobytes()
-            cold = np.array([raw[i : i + 16] not in known.value for i in range(0, len(raw), 16)], bool)
-            yield from table.filter(pa.array(cold)).to_batches()
-
-    asked = document_lines(docs, min_chars).mapInArrow(ask, "h1 long, h2 long, doc long")
+    asked = document_lines(docs, min_chars, known)
     lost = probe(shards, asked.withColumn("shard", F.pmod("h1", F.lit(n_shards))))
     drops, doc, n_lines, n_dropped = fresh(docs, "drops", "doc_key", "n_lines", "n_dropped")
     lost = lost.groupBy(F.col("doc").alias(doc)).agg(F.collect_set("h1").alias(drops))

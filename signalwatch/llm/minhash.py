@@ -129,7 +129,7 @@ def document_sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 1, 2 << 20):
+            for batch in slices(whole, 1):
                 sets, ends = shingle_sets(batch.column(1))
                 sizes = np.diff(ends)
                 keys = band_keys(sketch(sets, ends))[sizes > 0]
@@ -151,7 +151,7 @@ def document_sets(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 0, 2 << 20):
+            for batch in slices(whole, 0):
                 sets, ends = shingle_sets(batch.column(0))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sets.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(_identity(sets, ends)), lists], names=["cls", "shingles"])
