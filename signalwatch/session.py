@@ -46,10 +46,20 @@ def run_dir(spark: SparkSession, name: str) -> str:
 _shipped: set[str] = set()
 
 
+# Bytes of rows that a Python worker is handed at once: rows can be long texts.
+BATCH_BYTES = "8m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, as ``--py-files`` would."""
+    """Send this package to the Python workers, once per application, as ``--py-files`` would.
+
+    Workers then get rows in batches of ``BATCH_BYTES``, unless the application has set another size.
+    """
     if spark.sparkContext.applicationId in _shipped:
         return
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     _shipped.add(spark.sparkContext.applicationId)
     home = os.path.dirname(os.path.abspath(__file__))
     name = os.path.basename(home)
