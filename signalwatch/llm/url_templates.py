@@ -3,9 +3,16 @@
 A page's path is read segment by segment, digits of a segment as ``#``. At each node of a host's tree a segment that
 holds a small share of a node with many children is variable and becomes ``*``; the others stay literal. Sibling branches
 whose labelled shares of bad pages don't differ by a two-proportion test are merged into one branch ``{a|b}``; branches
-without labels are merged with each other only. Below ``DEPTH`` segments a path ends in ``**``. A template is
-rejected if its labelled purity (bad + prior * PRIOR_ROWS) / (labelled + PRIOR_ROWS) reaches ``PURITY``, where prior
-is the bad share of all labelled pages: a template without labels of its own is not rejected for others' pages.
+without labels are merged with each other only, if what other hosts' labels say of them doesn't differ either. Below
+``DEPTH`` segments a path ends in ``**``.
+
+A template is rejected if its purity, the judged share of bad pages, reaches ``PURITY``. With labels of its own, it is
+(bad + above * PRIOR_ROWS) / (labelled + PRIOR_ROWS), where above is its node's share, smoothed in the same way towards
+the nodes above, the host and all labelled pages; a node that holds all labels of the one above adds nothing.
+Without, it is judged by branches, not pages, since the labels below a branch are mostly one decision: a branch counts
+labelled / (labelled + PRIOR_ROWS). From ``NEUTRAL``, which pages have labels being the rules' choice, the share is
+smoothed with the labelled branches of the host and of each node on the way, then with the same path shape (the path
+without merging) over all hosts, at the deepest level that has labels. A single labelled branch rejects no other.
 
 Given rules come first: a rule (host, path) fits its host and all subdomains where the path begins with the rule's, and
 the longest fitting rule decides. Pages that a rule decides are the labelled pages of the tree.
@@ -30,6 +37,8 @@ SHARE, FEW = 0.05, 8
 #: Standard deviations from which two branches differ.
 DIFFER = 1.96
 PRIOR_ROWS, PURITY = 5.0, 0.8
+#: The share of bad pages where nothing is known.
+NEUTRAL = 0.5
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
@@ -59,66 +68,126 @@ def _segments(path: Column) -> Column:
 
 def _differ(n: Column, bad: Column, n2: Column, bad2: Column) -> Column:
     share = (bad + bad2) / (n + n2)
-    spread = F.sqrt(share * (1 - share) * (1 / n + 1 / n2))
+    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(0.0)) * (1 / n + 1 / n2))
     return F.abs(bad / n - bad2 / n2) >= F.greatest(DIFFER * spread, F.lit(1e-9))
 
 
+def _smooth(bad: Column, n: Column, towards: Column) -> Column:
+    return (bad + towards * PRIOR_ROWS) / (n + PRIOR_ROWS)
+
+
+def _weight() -> Column:
+    return F.col("labelled") / (F.col("labelled") + PRIOR_ROWS)
+
+
+def _bad_weight() -> Column:
+    return F.coalesce(_weight() * F.try_divide(F.col("bad"), F.col("labelled")), F.lit(0.0))
+
+
+#: What a node hands down: its smoothed share of bad pages and labels; the same by branches, with and without the node
+#: itself; what the same shape has over all hosts.
+HANDED = ("share", "held", "judged", "above", "lent", "lent_bad")
+
+
 def build_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For (host, path, label) rows, label 1 for bad, 0 for good, null for unknown: the template of each
     (host, path), and (host, template, n, labelled, bad, purity, rejected) of the templates."""
     rows = pages.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad")
     )
-    rows = stored(rows.withColumn("segments", _segments(F.col("path"))).withColumn("template", F.lit("")), "url-paths")
+    rows = stored(rows.withColumn("segments", _segments(F.col("path"))), "url-paths")
+    labelled, bad = rows.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    start = (bad / labelled if labelled else 0.0, labelled, NEUTRAL, NEUTRAL, 0.0, 0.0)
+    rows = rows.select("*", F.lit("").alias("template"), F.lit("").alias("shape"), *[F.lit(v).alias(c) for c, v in zip(HANDED, start, strict=True)])
     for depth in range(DEPTH + 1):
-        rows = rows.withColumn("segment", F.get("segments", F.lit(depth)))
-        counts = rows.groupBy("host", "template", "segment").agg(
-            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-        )
-        # distinct segments of a node in two steps: partial sums, no gathering of a node's children
-        nodes = counts.groupBy("host", "template").agg(F.sum("n").alias("total"), F.count("*").alias("children"))
-        keep = F.col("segment").isNull() | (F.col("children") <= FEW) | (F.col("n") >= F.col("total") * SHARE)
-        same_node = [F.col("c.host") == F.col("o.host"), F.col("c.template") == F.col("o.template")]
-        sized = counts.alias("c").join(nodes.alias("o"), functools.reduce(Column.__and__, same_node)).select(
-            "c.*", "total", "children"
-        )
-        literal = sized.where(keep).select("host", "template", "segment", F.coalesce("segment", F.lit("")).alias("piece"), F.lit(False).alias("rare"), "labelled", "bad")
-        rare = sized.where(~keep).groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        rare = rare.select("host", "template", F.lit(None).cast("string").alias("segment"), F.lit("*").alias("piece"), F.lit(True).alias("rare"), "labelled", "bad")
-        # at most FEW, or 1 / SHARE literals, and one wildcard per node
-        order = Window.partitionBy("host", "template", F.col("segment").isNull() & ~F.col("rare")).orderBy(
-            F.col("labelled") > 0, F.try_divide(F.col("bad"), F.col("labelled")), "piece"
-        )
-        before_n, before_bad = F.lag("labelled").over(order), F.lag("bad").over(order)
-        apart = before_n.isNull() | ((before_n > 0) != (F.col("labelled") > 0)) | (
-            (F.col("labelled") > 0) & F.coalesce(_differ(F.col("labelled"), F.col("bad"), before_n, before_bad), F.lit(False))
-        )
-        branches = literal.unionByName(rare).withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(order))
-        group = Window.partitionBy("host", "template", F.col("segment").isNull() & ~F.col("rare"), "branch")
-        members = F.sort_array(F.collect_list("piece").over(group))
-        name = F.when(F.size(members) > 1, F.concat(F.lit("{"), F.array_join(members, "|"), F.lit("}"))).otherwise(F.get(members, F.lit(0)))
-        branches = stored(branches.select("host", "template", "segment", "rare", name.alias("name")), f"url-tree{depth}")
-        kept = branches.where("NOT rare").select("host", "template", "segment", F.col("name").alias("own"))
-        others = branches.where("rare").select("host", "template", F.col("name").alias("other"))
-        rows = rows.alias("r").join(
-            kept.alias("k"),
-            (F.col("r.host") == F.col("k.host")) & (F.col("r.template") == F.col("k.template")) & F.col("r.segment").eqNullSafe(F.col("k.segment")),
-            "left",
-        ).select("r.*", "own")
-        rows = rows.alias("r").join(
-            others.alias("k"), (F.col("r.host") == F.col("k.host")) & (F.col("r.template") == F.col("k.template")), "left"
-        ).select("r.*", "other")
-        piece = F.when(F.col("segment").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("own", "other")))
-        rows = stored(rows.withColumn("template", F.concat("template", piece)).drop("segment", "own", "other"), f"url-level{depth}")
-    templates = rows.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-    total = rows.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("prior"))
-    templates = templates.join(total).withColumn(
-        "purity", (F.col("bad") + F.coalesce("prior", F.lit(0.0)) * PRIOR_ROWS) / (F.col("labelled") + PRIOR_ROWS)
+        rows = _level(rows, depth)
+    templates = rows.groupBy("host", "template").agg(
+        *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], *[F.max(c).alias(c) for c in HANDED]
     )
-    templates = templates.withColumn("rejected", (F.col("labelled") > 0) & (F.col("purity") >= PURITY)).drop("prior")
+    own = F.when(F.col("labelled") == F.col("held"), F.col("share")).otherwise(_smooth(F.col("bad"), F.col("labelled"), F.col("share")))
+    others = _smooth(F.col("lent_bad"), F.col("lent"), F.col("judged"))
+    templates = templates.withColumn("purity", F.when(F.col("labelled") > 0, own).otherwise(others)).drop(*HANDED)
+    templates = templates.withColumn("rejected", F.col("purity") >= PURITY)
     return rows.select("host", "path", "template"), templates
 
 
+def _level(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows with the templates of one more segment."""
+    node = ["host", "template"]
+    rows = rows.withColumn("segment", F.get("segments", F.lit(depth)))
+    counts = rows.groupBy(*node, "shape", "segment").agg(
+        *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], *[F.max(c).alias(c) for c in HANDED]
+    )
+    # distinct segments of a node in two steps: partial sums, no gathering of a node's children
+    children = counts.groupBy(*node, "segment").agg(F.sum("n").alias("n"))
+    nodes = children.groupBy(*node).agg(F.sum("n").alias("total"), F.count("*").alias("children"))
+    keep = F.col("segment").isNull() | (F.col("children") <= FEW) | (F.col("n") >= F.col("total") * SHARE)
+    kinds = children.join(nodes, node).select(*node, "segment", keep.alias("keep"))
+    same = [F.col("c.host") == F.col("o.host"), F.col("c.template") == F.col("o.template"), F.col("c.segment").eqNullSafe(F.col("o.segment"))]
+    sized = counts.alias("c").join(kinds.alias("o"), functools.reduce(Column.__and__, same)).select("c.*", "keep")
+    piece = F.when(F.col("keep"), F.coalesce("segment", F.lit(""))).otherwise(F.lit("*"))
+    ends = F.col("segment").isNull() & F.col("keep")
+    sized = sized.select(
+        *node, "labelled", "bad", *HANDED, piece.alias("piece"), ends.alias("ends"), (~F.col("keep")).alias("rare"),
+        F.when(F.col("keep"), F.col("segment")).alias("segment"),
+        F.when(ends, F.col("shape")).otherwise(F.concat("shape", F.lit("/"), piece)).alias("shape"),
+    )
+    child = [*node, "segment", "piece", "rare", "ends"]
+    sums, handed = [F.sum(c).alias(c) for c in ("labelled", "bad")], [F.max(c).alias(c) for c in HANDED]
+    shaped = stored(sized.groupBy(*child, "shape").agg(*sums, *handed), f"url-shapes{depth}")
+    # a host counts once for a shape; rounded, as sums of doubles depend on their order
+    lent = shaped.groupBy("host", "ends", "shape").agg(*sums).groupBy("ends", "shape").agg(
+        F.round(F.sum(_weight()), 9).alias("new"), F.round(F.sum(_bad_weight()), 9).alias("new_bad")
+    )
+    pieces = shaped.join(lent, ["ends", "shape"]).groupBy(*child).agg(
+        *sums, *handed, F.sum("new").alias("new"), F.sum("new_bad").alias("new_bad")
+    )
+    # at most FEW, or 1 / SHARE literals, and one wildcard per node
+    known = F.col("labelled") > 0
+    pieces = pieces.withColumn("rows", F.when(known, F.col("labelled")).otherwise(F.col("new")))
+    pieces = pieces.withColumn("bad_rows", F.when(known, F.col("bad")).otherwise(F.col("new_bad")))
+    order = Window.partitionBy(*node, "ends").orderBy(known, F.try_divide(F.col("bad_rows"), F.col("rows")), "piece")
+    before, before_n, before_bad = (F.lag(c).over(order) for c in ("labelled", "rows", "bad_rows"))
+    apart = before.isNull() | ((before > 0) != known) | ((before_n > 0) != (F.col("rows") > 0)) | (
+        (F.col("rows") > 0) & F.coalesce(_differ(F.col("rows"), F.col("bad_rows"), before_n, before_bad), F.lit(False))
+    )
+    whole = Window.partitionBy(*node)
+    branches = pieces.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(order))
+    sums_of = {"all": F.col("labelled"), "all_bad": F.col("bad"), "weight": _weight(), "bad_weight": _bad_weight()}
+    branches = branches.withColumns({c: F.round(F.sum(x).over(whole), 9) for c, x in sums_of.items()})
+    group = Window.partitionBy(*node, "ends", "branch")
+    members = F.sort_array(F.collect_list("piece").over(group))
+    name = F.when(F.size(members) > 1, F.concat(F.lit("{"), F.array_join(members, "|"), F.lit("}"))).otherwise(F.get(members, F.lit(0)))
+    branches = branches.withColumns({"name": name, **{c: F.sum(c).over(group) for c in ("new", "new_bad")}})
+    none, again = F.col("all") == 0, F.col("all") == F.col("held")
+    above = F.when(none | again, F.col("above")).otherwise(F.col("judged"))
+    values = {
+        "share": F.when(none | again, F.col("share")).otherwise(_smooth(F.col("all_bad"), F.col("all"), F.col("share"))),
+        "held": F.col("all"),
+        "judged": F.when(none, F.col("judged")).otherwise(_smooth(F.col("bad_weight"), F.col("weight"), above)),
+        "above": above,
+        "lent": F.when(F.col("new") > 0, F.col("new")).otherwise(F.col("lent")),
+        "lent_bad": F.when(F.col("new") > 0, F.col("new_bad")).otherwise(F.col("lent_bad")),
+    }
+    found = F.struct("name", *[v.alias(c) for c, v in values.items()])
+    branches = stored(branches.select(*node, "segment", "rare", found.alias("found")), f"url-tree{depth}")
+    kept = branches.where("NOT rare").select(*node, "segment", F.col("found").alias("own"))
+    others = branches.where("rare").select(*node, F.col("found").alias("other"))
+    same = [F.col("r.host") == F.col("k.host"), F.col("r.template") == F.col("k.template"), F.col("r.segment").eqNullSafe(F.col("k.segment"))]
+    rows = rows.drop(*HANDED).alias("r").join(kept.alias("k"), functools.reduce(Column.__and__, same), "left").select("r.*", "own")
+    rows = rows.alias("r").join(others.alias("k"), functools.reduce(Column.__and__, same[:2]), "left").select("r.*", "other")
+    rows = rows.withColumn("found", F.coalesce("own", "other"))
+    step = lambda x: F.when(F.col("segment").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), x))
+    literal = F.when(F.col("own").isNotNull(), F.col("segment")).otherwise(F.lit("*"))
+    return stored(
+        rows.select(
+            "host", "path", "n", "labelled", "bad", "segments", F.concat("template", step(F.col("found.name"))).alias("template"),
+            F.concat("shape", step(literal)).alias("shape"), *[F.col(f"found.{c}").alias(c) for c in HANDED],
+        ),
+        f"url-level{depth}",
+    )
+
+
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) per row of (page_id, url)."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))

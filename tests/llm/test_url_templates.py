@@ -84,3 +84,28 @@ def test_paths_beyond_the_depth(spark):
     deep = "/" + "/".join("abcdefghij")
     paths, _ = tree(spark, [("h", deep, None), ("h", "", None), ("h", "/", None), ("", "", None)])
     assert paths[("h", deep)].endswith("/**") and len(paths) == 4
+
+
+def test_unruled_pages_are_blocked_by_what_other_hosts_labels_say(spark):
+    urls = [f"http://h{h}.example.com/de/{i}" for h in range(20) for i in range(5)]
+    urls += [f"http://h{h}.example.net/en/{i}" for h in range(20) for i in range(5)]
+    urls += [f"http://x.example.org/{s}/{i}" for s in ("de", "en", "es") for i in range(3)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_templates.judge(pages).where("rule IS NULL AND host = 'x.example.org'").collect()
+    verdicts = {(r.template, r.verdict) for r in got}
+    # "de" is bad on 20 hosts, "en" good on 20, of "es" nothing is known
+    assert verdicts == {("/de/#", "block"), ("/en/#", "allow"), ("/es/#", "allow")}
+    weight = 20 * 5 / (5 + 5)
+    purity = {r.template: r.purity for r in got}
+    assert abs(purity["/de/#"] - (weight + 5 * 0.5) / (weight + 5)) < 1e-9
+    assert abs(purity["/en/#"] - 5 * 0.5 / (weight + 5)) < 1e-9 and purity["/es/#"] == 0.5
+
+
+def test_unlabelled_branches_follow_the_branches_beside_them(spark):
+    rows = [("h", f"/bad{c}x/{i}", 1) for c in "abcdefgh" for i in range(200)] + [("h", f"/new/{i}", None) for i in range(200)]
+    rows += [("good", f"/ok{c}x/{i}", 0) for c in "abcdefgh" for i in range(200)] + [("good", f"/new/{i}", None) for i in range(200)]
+    _, found = tree(spark, rows)
+    verdicts = {k: r.rejected for k, r in found.items() if k[1] == "/new/#"}
+    weight = 8 * 200 / 205
+    assert verdicts == {("h", "/new/#"): True, ("good", "/new/#"): False}
+    assert abs(found[("h", "/new/#")].purity - (weight + 2.5) / (weight + 5)) < 1e-6
