@@ -4,7 +4,9 @@ A page's path is read segment by segment, digits of a segment as ``#``. At each
 holds a small share of a node with many children is variable and becomes ``*``; the others stay literal. Sibling branches
 whose labelled shares of bad pages don't differ by a two-proportion test are merged into one branch ``{a|b}``; branches
 without labels are merged with each other only, if what other hosts' labels say of them doesn't differ either. Below
-``DEPTH`` segments a path ends in ``**``.
+``DEPTH`` segments the rest of a path is ``**`` only where no label can tell its pages apart: all pages of the node, and
+all pages of any host with the node's path shapes, are without labels, or all labelled bad, or all labelled good.
+Elsewhere the tree goes on to the paths' ends.
 
 A template is rejected if its purity, the judged share of bad pages, reaches ``PURITY``. With labels of its own, it is
 (bad + above * PRIOR_ROWS) / (labelled + PRIOR_ROWS), where above is its node's share, smoothed in the same way towards
@@ -62,8 +64,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def _segments(path: Column) -> Column:
-    whole = F.split(F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "#"), "/", -1)
-    return F.when(F.size(whole) > DEPTH, F.concat(F.slice(whole, 1, DEPTH), F.array(F.lit("**")))).otherwise(whole)
+    return F.split(F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "#"), "/", -1)
 
 
 def _differ(n: Column, bad: Column, n2: Column, bad2: Column) -> Column:
@@ -99,8 +100,17 @@ def build_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     labelled, bad = rows.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     start = (bad / labelled if labelled else 0.0, labelled, NEUTRAL, NEUTRAL, 0.0, 0.0)
     rows = rows.select("*", F.lit("").alias("template"), F.lit("").alias("shape"), *[F.lit(v).alias(c) for c, v in zip(HANDED, start, strict=True)])
-    for depth in range(DEPTH + 1):
+    ended, depth = [], 0
+    while not rows.isEmpty():
+        if depth >= DEPTH:
+            rows = _close(rows, depth)
+            ended.append(rows.where("closed").drop("closed"))
+            rows = rows.where("NOT closed").drop("closed")
         rows = _level(rows, depth)
+        ended.append(rows.where(F.size("segments") <= depth))
+        rows = rows.where(F.size("segments") > depth)
+        depth += 1
+    rows = functools.reduce(DataFrame.unionByName, ended, rows)
     templates = rows.groupBy("host", "template").agg(
         *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], *[F.max(c).alias(c) for c in HANDED]
     )
@@ -111,6 +121,20 @@ def build_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("host", "path", "template"), templates
 
 
+def _close(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows with ``closed``, and ``/**`` on the templates of closed rows: no label tells the node's pages apart."""
+    kind = F.when(F.col("labelled") == 0, 0).when(F.col("labelled") < F.col("n"), 3)
+    kind = kind.when(F.col("bad") == 0, 1).when(F.col("bad") == F.col("labelled"), 2).otherwise(3)
+    # a row per node and shape, then per shape, then per node
+    own = rows.groupBy("host", "template", "shape").agg(F.min(kind).alias("low"), F.max(kind).alias("high"))
+    shapes = own.groupBy("shape").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+    nodes = own.join(shapes, "shape").groupBy("host", "template").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    nodes = nodes.select("host", "template", ((F.col("least") == F.col("most")) & (F.col("most") < 3)).alias("alike"))
+    rows = rows.join(nodes, ["host", "template"]).withColumn("closed", F.col("alike") & (F.size("segments") > depth)).drop("alike")
+    rest = F.when(F.col("closed"), F.lit("/**")).otherwise(F.lit(""))
+    return stored(rows.withColumn("template", F.concat("template", rest)), f"url-closed{depth}")
+
+
 def _level(rows: DataFrame, depth: int) -> DataFrame:
     """The rows with the templates of one more segment."""
     node = ["host", "template"]

@@ -109,3 +109,16 @@ def test_unlabelled_branches_follow_the_branches_beside_them(spark):
     weight = 8 * 200 / 205
     assert verdicts == {("h", "/new/#"): True, ("good", "/new/#"): False}
     assert abs(found[("h", "/new/#")].purity - (weight + 2.5) / (weight + 5)) < 1e-6
+
+
+def test_deep_branches_are_told_apart(spark):
+    top = "/a/b/c/d/e/f"
+    rows = [("h", f"{top}/{name}/{i}", bad) for name, bad in (("spam", 1), ("docs", 0), ("new", None)) for i in range(60)]
+    rows += [("other", f"{top}/spam/{i}", None) for i in range(5)] + [("other", "/x" * 40, None)] * 2
+    paths, found = tree(spark, rows)
+    assert paths[("h", f"{top}/spam/1")] == f"{top}/spam/#" and paths[("h", f"{top}/docs/1")] == f"{top}/docs/**"
+    verdicts = {t: r.rejected for (h, t), r in found.items() if h == "h"}
+    assert verdicts == {f"{top}/spam/#": True, f"{top}/docs/**": False, f"{top}/new/**": False}
+    # no labels below it anywhere
+    assert paths[("other", "/x" * 40)].endswith("/**")
+    assert sum(r.n for r in found.values()) == len(rows) and len(paths) == len(set(r[:2] for r in rows))
