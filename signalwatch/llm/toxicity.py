@@ -6,7 +6,10 @@ the factors of each pair of terms, so that a pair can say more than its two term
 
 Learning: at most ``MAX_ROWS`` labelled documents, by hash of doc_id, whole texts. Buckets that stand out in one class (``MIN_DOCS``
 documents, ``MIN_Z`` standard deviations from chance) are the model's terms, at most ``MAX_TERMS`` of them by that
-distance; the others have weight zero, so long clean texts gather no noise. The model is of bounded size and goes to all tasks.
+distance. Of the others, those enter that stand out beside one of these: among the documents with both, the toxic share
+differs from the first term's. A term's p-value is its best pair's times the pairs tried, and terms enter, at most ``MAX_TERMS``, as
+long as a share of ``FALSE_TERMS`` at most is expected to enter by chance (Benjamini and Hochberg). The rest
+has weight zero, so long clean texts gather no noise. The model is of bounded size and goes to all tasks.
 
 Null and empty texts have no terms and score the bias. Without labelled rows of both classes the score is the
 share of toxic rows, 0 without any. Rows without a doc_id are scored but not learnt from. A doc_id that
@@ -15,6 +18,8 @@ is labelled or stored several times counts each time.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from signalwatch.llm.common import col, fresh, mix, seeds, slices
+from signalwatch.llm.common import col, fresh, mix, seeds, slices, stored
 
 BUCKETS = 1 << 20
 MAX_ROWS = 20_000
 MIN_DOCS, MIN_Z, MAX_TERMS = 4, 5.0, 4096
+FALSE_TERMS = 0.1
 FACTORS = 4
 THRESHOLD = 0.7
 PREFIXES = (4, 6)
@@ -123,32 +129,111 @@ def fit_pairs(y: np.ndarray, row: np.ndarray, term: np.ndarray, buckets: np.ndar
         return Model(buckets[:0], 30.0 * (2 * share - 1), np.zeros(0), np.zeros((0, FACTORS)))
     v = (np.random.default_rng(7).normal(0, 0.05, (m, FACTORS))) if m else np.zeros((0, FACTORS))
     model = Model(buckets, float(np.log(share / (1 - share))), np.zeros(m), v)
-    g_b, g_w, g_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
+    # sums over a document's terms, and over a term's documents, as sums of runs
+    by_row, by_term = np.argsort(row, kind="stable"), np.argsort(term, kind="stable")
+    of_rows, of_terms = _runs(row[by_row], term[by_row], n), _runs(term[by_term], row[by_term], m)
+    factors = np.ascontiguousarray(model.factors.T)
+    g_b, g_w, g_v = 1e-8, np.full(m, 1e-8), np.full((FACTORS, m), 1e-8)
     for _ in range(rounds):
-        error = (model.score(row, term, n) - y) / n
+        # half of (sum of v) squared less half of the sum of squares, the squares with the weights
+        totals = [of_rows(own) for own in factors]
+        z = model.bias + of_rows(model.weights - 0.5 * (factors * factors).sum(axis=0)) + 0.5 * sum(t * t for t in totals)
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
         step = error.sum()
         g_b += step * step
         model.bias -= rate * step / np.sqrt(g_b)
         if not m:
             continue
-        grad = np.bincount(term, error[row], m) + decay * model.weights / n
-        grads = np.empty_like(model.factors)
-        for k in range(FACTORS):
-            own = model.factors[term, k]
-            total = np.bincount(row, own, n)
-            grads[:, k] = np.bincount(term, error[row] * (total[row] - own), m) + decay * model.factors[:, k]
+        plain = of_terms(error)
+        grad = plain + decay * model.weights / n
+        grads = np.array([of_terms(error * t) for t in totals]) - factors * plain + decay * factors
         g_w += grad * grad
         g_v += grads * grads
         model.weights -= rate * grad / np.sqrt(g_w)
-        model.factors -= rate * grads / np.sqrt(g_v) * 0.2
+        factors -= rate * grads / np.sqrt(g_v) * 0.2
+    model.factors = np.ascontiguousarray(factors.T)
     return model
 
 
+def _runs(owner: np.ndarray, member: np.ndarray, n: int):
+    """A function from members' values to each owner's sum; owners ascend."""
+    has, starts = np.unique(owner, return_index=True)
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(n)
+        if len(has):
+            out[has] = np.add.reduceat(values[member], starts)
+        return out
+
+    return sums
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learnt from: a third of the documents."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+@dataclass
+class Beside:
+    """The learnt documents by ascending id: whether they are toxic, and their admitted terms from ``ends`` on."""
+
+    ids: np.ndarray
+    toxic: np.ndarray
+    ends: np.ndarray
+    terms: np.ndarray
+    n_terms: int
+
+    def chance(self, ids: np.ndarray) -> float:
+        """How likely a term of these documents stands out as much beside some admitted term by chance."""
+        at = np.searchsorted(self.ids, ids)
+        sizes = self.ends[at + 1] - self.ends[at]
+        places = np.repeat(self.ends[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        both = self.terms[places]
+        n = np.bincount(both, minlength=self.n_terms)
+        tried = np.flatnonzero((n >= MIN_DOCS) & (n < self.n))
+        if not len(tried):
+            return 1.0
+        bad = np.bincount(both, np.repeat(self.toxic[at], sizes), self.n_terms)[tried]
+        # arcsines: roots make small counts comparable
+        z = 2 * np.sqrt(n[tried]) * (np.arcsin(np.sqrt(bad / n[tried])) - np.arcsin(np.sqrt(self.share[tried])))
+        return min(1.0, len(tried) * math.erfc(float(np.abs(z).max()) / math.sqrt(2)))
+
+    def __post_init__(self):
+        self.n = np.bincount(self.terms, minlength=self.n_terms)
+        owners = np.repeat(self.toxic, np.diff(self.ends))
+        self.share = np.minimum(1.0, np.bincount(self.terms, owners, self.n_terms) / np.maximum(self.n, 1))
+
+
+def _beside(sample: DataFrame, kept: list[int]) -> list[int]:
+    """The buckets that stand out beside one of the kept ones."""
+    if not kept:
+        return []
+    wanted = F.array(*map(F.lit, kept))
+    rows = sorted((r[0], r[1], r[2]) for r in sample.select("id", "toxic", F.array_intersect("buckets", wanted)).collect())  # max_rows rows
+    terms_ = np.concatenate([np.array(b, np.int64) for _, _, b in rows])
+    ends = np.cumsum([0, *(len(b) for _, _, b in rows)])
+    beside = Beside(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float), ends, np.searchsorted(kept, terms_), len(kept))
+    known = sample.sparkSession.sparkContext.broadcast(beside)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chances = [known.value.chance(ids.values.to_numpy()) for ids in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chances, pa.float64())], names=["bucket", "chance"])
+
+    # a bucket has max_rows ids at most
+    owners = sample.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.collect_list("id").alias("ids"))
+    owners = owners.where(F.size("ids") >= MIN_DOCS)
+    chances = owners.mapInArrow(run, "bucket int, chance double").persist()
+    try:
+        tried = chances.where(~F.col("bucket").isin(kept)).where("chance < 1")
+        n = chances.count()
+        best = tried.where(F.col("chance") <= FALSE_TERMS).orderBy("chance", "bucket").limit(MAX_TERMS).collect()
+    finally:
+        chances.unpersist()
+    last = max((i for i, r in enumerate(best, 1) if r.chance <= FALSE_TERMS * i / n), default=0)
+    return [r.bucket for r in best[:last]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """A model from (doc_id, text) and (doc_id, toxic) rows, without the held-out third."""
     chosen = (
@@ -168,7 +253,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((both % BUCKETS).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["toxic", "buckets"])
 
-    sample = rows.select("toxic", "text").mapInArrow(buckets_of, "toxic int, buckets array<int>").persist()
+    sample = rows.select("toxic", "text").mapInArrow(buckets_of, "toxic int, buckets array<int>")
+    # kept in a table, as the ids must be the same in each reading
+    sample = stored(sample.withColumn("id", F.monotonically_increasing_id()), "toxicity-sample").persist()
     try:
         n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
         share = toxic / n if n else 0.0
@@ -178,6 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         z = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
         terms_ = with_term.where(F.col("n") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z)
         kept = sorted(r[0] for r in terms_.orderBy(F.desc("z"), "bucket").limit(MAX_TERMS).select("bucket").collect())
+        kept = sorted(kept + _beside(sample, kept))
         wanted = F.array(*map(F.lit, kept)) if kept else F.array().cast("array<int>")
         data = sample.select("toxic", F.array_intersect("buckets", wanted).alias("b")).collect()  # max_rows rows
     finally:

@@ -63,3 +63,26 @@ def test_terms_are_words_of_their_own_text():
     assert 1 not in words and 2 not in words
     again = toxicity.terms(texts.slice(3))
     assert again[0].tolist()[:1] == [0] and again[1][0] == words[3][0]
+
+
+def test_rare_terms_that_stand_out_only_beside_another(spark, docs):
+    """Toxic: a slur, or an insult together with one of 20 rare group words, none of which stands out alone."""
+    draw, rows, labels, kinds = random.Random(5), [], [], {}
+    for i in range(6000):
+        words = [draw.choice(WORDS) for _ in range(draw.randint(5, 20))]
+        slur, insult, group = draw.random() < 0.1, draw.random() < 0.2, draw.random() < 0.3
+        words += ["slur"] * slur + ["insult"] * insult + [f"g{draw.randrange(20)}x"] * group
+        draw.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(slur or (insult and group))))
+        kinds[i] = "slur" if slur else "both" if insult and group else "insult" if insult else "group" if group else "none"
+    df = docs(*rows)
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    names = [int(toxicity.terms(pa.array([f"g{i}x"]))[1][0]) for i in range(20)]
+    assert sum(x in model.buckets for x in names) >= 16
+    scores = {}
+    for r in toxicity.with_scores(df, model, keep=["doc_id"]).collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 3 == 1:
+            scores.setdefault(kinds[r.doc_id], []).append(r.score)
+    means = {k: np.mean(v) for k, v in scores.items()}
+    assert means["both"] > 0.7 and means["insult"] < 0.3 and means["group"] < 0.1 and means["slur"] > 0.9, means
