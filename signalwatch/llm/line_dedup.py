@@ -6,7 +6,8 @@ of documents with the line, and the smallest of them. Documents don't join lines
 to the shard, which probes its arrays and answers with the lines that the document loses.
 
 Lines that at least one in ``HOT`` of all (line, document) rows hold are at most ``HOT`` many; they go to all tasks as
-a small table, so no shard gets more than a few of such rows from any one line.
+a small table, so no shard gets more than a few of such rows from any one line. A shard whose lines have more than
+``SHARD_ROWS`` rows is copied, and its rows are dealt among the copies.
 
 Null texts count as empty: one empty line. A null doc_id counts as one document, after all others. Rows that
 share a doc_id are one document: a line that only they hold stays. Repeated rows all stay.
@@ -31,6 +32,8 @@ MIN_CHARS = 10
 HOT = 2048
 #: Distinct lines per shard, on average.
 SHARD_LINES = 100_000
+#: Asked rows per copy of a shard, on average.
+SHARD_ROWS = 1_000_000
 LAST = 2**63 - 1
 
 
@@ -70,15 +73,16 @@ def document_lines(docs: DataFrame, min_chars: int, known=None) -> DataFrame:
 
 
 def line_counts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, first, n): each distinct line's smallest document, and 1 or the rows that hold it."""
+    """(h1, h2, first, n, held): each distinct line's smallest document, the rows that hold it, as n 1 if of one document."""
     counts = document_lines(docs, min_chars).groupBy("h1", "h2").agg(
-        F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")
+        F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("held")
     )
-    return counts.select("h1", "h2", "first", F.when(F.col("last") > F.col("first"), F.col("n")).otherwise(1).alias("n"))
+    n = F.when(F.col("last") > F.col("first"), F.col("held")).otherwise(1)
+    return counts.select("h1", "h2", "first", n.alias("n"), "held")
 
 
-def build_shards(lines: DataFrame, n_shards: int) -> DataFrame:
-    """One row per shard: the perfect hash and its arrays, as bytes."""
+def build_shards(lines: DataFrame, n_shards: int, hot: int) -> DataFrame:
+    """One row per shard: the perfect hash and its arrays, as bytes, and the number of its copies."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         a, b = rows["h1"].to_numpy().view(np.uint64), rows["h2"].to_numpy().view(np.uint64)
@@ -90,16 +94,19 @@ def build_shards(lines: DataFrame, n_shards: int) -> DataFrame:
         first[place] = rows["first"].to_numpy()
         return pd.DataFrame(
             {"shard": [rows["shard"].iloc[0]], "index": [index.to_bytes()], "prints": [prints.tobytes()],
-             "counts": [n.tobytes()], "firsts": [first.tobytes()]}
+             "counts": [n.tobytes()], "firsts": [first.tobytes()], "copies": [max(1, -(-int(rows["asked"].sum()) // shard_rows))]}
         )
 
-    dealt = lines.withColumn("shard", F.pmod("h1", F.lit(n_shards)))
-    schema = "shard long, index binary, prints binary, counts binary, firsts binary"
+    shard_rows = SHARD_ROWS
+    # lines of hot rows or more ask no shard
+    asked = F.when(F.col("held") < hot, F.col("held")).otherwise(0)
+    dealt = lines.withColumn("asked", asked).drop("held").withColumn("shard", F.pmod("h1", F.lit(n_shards)))
+    schema = "shard long, index binary, prints binary, counts binary, firsts binary, copies long"
     return dealt.groupBy("shard").applyInPandas(build, schema)
 
 
 def probe(shards: DataFrame, asked: DataFrame) -> DataFrame:
-    """(doc, h1) of the asked (h1, h2, doc, shard) rows whose line an earlier document holds."""
+    """(doc, h1) of the asked (h1, h2, doc, shard, copy) rows whose line an earlier document holds."""
 
     def look(rows: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or arrays.empty:
@@ -115,7 +122,17 @@ def probe(shards: DataFrame, asked: DataFrame) -> DataFrame:
         hit &= (prints[at] == b.astype(np.uint32)) & (n[at] > 1) & (first[at] < rows["doc"].to_numpy())
         return rows.loc[hit, ["doc", "h1"]]
 
-    return asked.groupBy("shard").cogroup(shards.groupBy("shard")).applyInPandas(look, "doc long, h1 long")
+    copies = shards.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    return asked.groupBy("shard", "copy").cogroup(copies.groupBy("shard", "copy")).applyInPandas(look, "doc long, h1 long")
+
+
+def deal(asked: DataFrame, shards: DataFrame, n_shards: int) -> DataFrame:
+    """The (h1, h2, doc) rows with their shard and its copy."""
+    # of shards with several copies there are fewer than one per SHARD_ROWS rows
+    several = F.broadcast(shards.where("copies > 1").select("shard", "copies"))
+    rows = asked.withColumn("shard", F.pmod("h1", F.lit(n_shards))).join(several, "shard", "left")
+    copy = F.pmod(F.xxhash64("doc", "h1"), F.coalesce("copies", F.lit(1)).cast("long"))
+    return rows.select("h1", "h2", "doc", "shard", copy.alias("copy"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, out: str = "text") -> DataFrame:
@@ -126,19 +143,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, out: str = "text")
     """
     spark = docs.sparkSession
     lines = stored(line_counts(docs, min_chars), "line-counts")
-    distinct, held = lines.agg(F.count("*"), F.sum("n")).first()
+    distinct, held = lines.agg(F.count("*"), F.sum("held")).first()
     n_shards = max(1, -(-distinct // SHARD_LINES))
     least = max(2, -(-(held or 0) // HOT))
     # at most HOT rows: their counts sum to no more than all
     hot = {
         r["h1"].to_bytes(8, "little", signed=True) + r["h2"].to_bytes(8, "little", signed=True): r["first"]
-        for r in lines.where(F.col("n") >= least).collect()
+        for r in lines.where(F.col("held") >= least).collect()
     }
     known = spark.sparkContext.broadcast(hot)
-    shards = stored(build_shards(lines, n_shards), "line-shards")
+    shards = stored(build_shards(lines, n_shards, least), "line-shards")
 
     asked = document_lines(docs, min_chars, known)
-    lost = probe(shards, asked.withColumn("shard", F.pmod("h1", F.lit(n_shards))))
+    lost = probe(shards, deal(asked, shards, n_shards))
     drops, doc, n_lines, n_dropped = fresh(docs, "drops", "doc_key", "n_lines", "n_dropped")
     lost = lost.groupBy(F.col("doc").alias(doc)).agg(F.collect_set("h1").alias(drops))
     keyed = docs.withColumn(doc, F.coalesce(col("doc_id").cast("long"), F.lit(LAST)))

@@ -57,3 +57,19 @@ def test_empty_table_and_clashing_columns(docs):
     got = line_dedup.dedup_lines(rows)
     assert got.columns == ["doc_id", "text", "n_lines", "drops", "n_chars", "n_lines_", "n_dropped"]
     assert {(r.doc_id, r.text, r.n_lines) for r in got.collect()} == {(1, "a line of words", "en"), (2, "rest", "en")}
+
+
+def test_many_copies_of_few_lines_are_dealt_among_copies_of_a_shard(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_ROWS", 100)
+    monkeypatch.setattr(line_dedup, "HOT", 20)
+    sizes, probe = [], line_dedup.probe
+
+    def seen(shards, asked):
+        sizes.extend(r["count"] for r in asked.groupBy("shard", "copy").count().collect())
+        return probe(shards, asked)
+
+    monkeypatch.setattr(line_dedup, "probe", seen)
+    rows = [(i, "\n".join(f"line number {(i + k) % 40} of all" for k in range(10))) for i in range(200)]
+    rows += [(None, "only rows without an id\nline number 3 of all")] * 30
+    assert run(docs, rows) == brute(rows)
+    assert max(sizes) <= 200 and sum(sizes) > 1900
