@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, simhash, subspace_join, token_files, toxicity, url_templates
+from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, simhash, subspace_join, token_files, toxicity, tree_bpe, url_templates
 from signalwatch.llm.common import table
 
 
@@ -77,7 +77,18 @@ def op10_secret_scan(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op6_simhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan)}
+def op13_tree_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tree_bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=["doc_id"]).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op6_simhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan, op13_tree_bpe)}
 
 ORACLES = {
     "op7_subspace_join": """
