@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, line_dedup, minhash, mixing, secret_scan, simhash, subspace_join, token_files, toxicity, tree_bpe, url_templates
+from signalwatch.llm import (
+    bpe, dual_tree, line_dedup, minhash, mixing, secret_scan, simhash, subspace_join, token_files, toxicity, tree_bpe,
+    turn_repair, url_templates,
+)
 from signalwatch.llm.common import table
 
 
@@ -77,6 +80,15 @@ def op10_secret_scan(spark, sf_dir):
     )
 
 
+def op11_turn_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repaired(rows, turn_repair.damage(rows))
+
+
+def op12_dual_tree(spark, sf_dir):
+    return dual_tree.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_tree_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,7 +100,13 @@ def op13_tree_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op6_simhash, op7_subspace_join, op8_mixing, op9_token_files, op10_secret_scan, op13_tree_bpe)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_templates, op2_bpe, op3_toxicity, op4_line_dedup, op5_minhash, op6_simhash, op7_subspace_join, op8_mixing,
+        op9_token_files, op10_secret_scan, op11_turn_repair, op12_dual_tree, op13_tree_bpe,
+    )
+}
 
 ORACLES = {
     "op7_subspace_join": """
