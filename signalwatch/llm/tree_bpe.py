@@ -37,8 +37,10 @@ from signalwatch.llm.common import col, fresh, slices
 LEAF, WORD_LEAF = 4096, 48
 #: Characters beyond its end that a match may have looked at, in patterns like the tokenizers' own.
 LOOK = 2
-#: Bytes of text that are encoded at once, and of the matches remembered.
-SLICE, REMEMBERED = 1 << 20, 32 << 20
+#: Bytes of text that are encoded at once, matches remembered, and their greatest length.
+SLICE, REMEMBERED, SHORT = 1 << 20, 1 << 19, 64
+#: The rank of two parts that make no token.
+NONE = 1 << 60
 
 
 class Encoder:
@@ -51,7 +53,7 @@ class Encoder:
         self.leaf, self.word_leaf = max(leaf, 1), max(word_leaf, 1)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
-        self.known, self.size = _Known(self), 0
+        self.known = _Known(self)
         self.joins = 0
 
     # -- within a match --------------------------------------------------------------------------
@@ -60,22 +62,21 @@ class Encoder:
         """All merges of a word: the lowest rank first, from the left."""
         if len(word) > 4 * WORD_LEAF:
             return self._merge_queued(word)
-        ranks = self.ranks
+        rank = self.ranks.get
         parts = [word[i : i + 1] for i in range(len(word))]
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for i, rank in enumerate(pairs):
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                return [ranks[part] for part in parts]
+        pairs = [rank(word[i : i + 2], NONE) for i in range(len(word) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == NONE:
+                break
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del pairs[at]
             if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at] = rank(parts[at] + parts[at + 1], NONE)
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], NONE)
+        return [self.ranks[part] for part in parts]
 
     def _merge_queued(self, word: bytes) -> list[int]:
         """The same for a window that has grown long: pairs wait in a queue by rank and place."""
@@ -245,7 +246,7 @@ class Segment:
 
 
 class _Known(dict):
-    """Ids of matches seen, up to a number of bytes."""
+    """Ids of short matches seen, up to a number of them."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
@@ -253,11 +254,9 @@ class _Known(dict):
 
     def __missing__(self, match: str) -> tuple[int, ...]:
         ids = self.encoder.word(match)
-        if len(match) <= 64:
-            self.encoder.size += 150
-            if self.encoder.size > REMEMBERED:
+        if len(match) <= SHORT:
+            if len(self) >= REMEMBERED:
                 self.clear()
-                self.encoder.size = 0
             self[match] = ids
         return ids
 
