@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from signalwatch.functions import z_score
 from signalwatch.operators.analytics import category_share, share_of_total
 from signalwatch.operators.keyed import attach
+from signalwatch.operators.matching import asof_join
 from signalwatch.operators.projections import at_least, not_null
 from signalwatch.operators.timeseries import history_zscore
+from signalwatch.sources.sinks import feature_table
 
 # Thresholds used unless the caller passes others.
 VOLUME_THRESHOLD = 500
@@ -215,6 +217,24 @@ def multi_metric_alerts(
     return joined
 
 
+def multi_metric_in_time(
+    base: DataFrame, others: list[tuple[DataFrame, str]], t: str, by: list[str], minimum: dict[str, float],
+    within: str | None = None,
+) -> DataFrame:
+    """Rows of ``base`` whose metrics, and the newest ones of every other table at or before their time, all
+    reach their minimum.
+
+    ``others`` are (table, time column) pairs that need not be evaluated at the same times; ``within`` bounds the age of
+    what is taken.  A row without a partner does not reach the minimum.
+    """
+    joined = base
+    for frame, time in others:
+        joined = asof_join(joined, frame, t, time, list(by), within=within)
+    for metric, least in minimum.items():
+        joined = at_least(joined, metric, least)
+    return joined
+
+
 # -- cooldown ------------------------------------------------------------------------------------
 
 
@@ -222,120 +242,83 @@ def apply_cooldown(df: DataFrame, t: str, keys: list[str], minutes: float) -> Da
     """Alerts that fire when a key stays silent for ``minutes`` after each alert that fired.
 
     A suppressed alert does not restart the clock, so whether an alert fires depends on the whole chain
-    before it.  The chain is followed in three steps, so that no key is ever gathered as a whole:
-
-    1. Time is cut into blocks.  An alert of an earlier block can only silence the start of a block,
-       shorter than one cooldown.  For each alert that may thus be the first of the block to fire,
-       the block works out when the key is ready again after its last one.
-    2. Per key, these answers are chained from block to block, giving the time at which each block
-       starts to be ready.
-    3. Each block marks its alerts from that time on.
-
-    ``keys=[]`` is one clock for all alerts.  Of alerts of a key at the same instant the fired one is
-    not distinguished: all rows of that instant are returned.
+    before it.  The chain is a path through the key's distinct instants: behind a fired one the next to fire is
+    the first at least a cooldown later.  These pointers come from one sort per key and block of time.
+    Each round then stores, for the instants that are still that far from the end, the next three steps and
+    the fourth, and takes the fourth as the step of the round after; the rounds are the base-4 logarithm of the longest
+    chain.  The fired instants are read off these tables from the longest steps down, starting at each
+    key's first one.  Every table has one row per instant and is joined by key and instant, so neither a hot
+    key nor ``keys=[]``, one clock for all alerts, gathers in one task.
+
+    Of alerts of a key at the same instant the fired one is not distinguished: all rows of that instant
+    are returned.  Alerts without a time do not fire.  NULL is a key like any other.
     """
     pause = int(minutes * 60_000_000)
     if pause <= 0:
         return df
-    width = max(_DAY_MICROS, 32 * pause)
     keys = list(keys)
-    at, block = F.unix_micros(F.col(t).cast("timestamp")), F.col("_block")
-    blocks = (
-        df.where(F.col(t).isNotNull())
-        .groupBy(*keys, F.floor(at / width).alias("_block"))
-        .agg(F.array_sort(F.collect_set(at)).alias("_times"))
-        .withColumn("_open", block * width)
+    at = F.unix_micros(F.col(t).cast("timestamp"))
+    instants = feature_table(
+        df.where(F.col(t).isNotNull()).select(*keys, at.alias("_at")).distinct(), "cooldown_instants"
     )
+    steps, levels = feature_table(_next_to_fire(instants, keys, pause), "cooldown_steps"), []
+    while not steps.isEmpty():
+        reach = steps.withColumnRenamed("_next", "_1")
+        for n in (1, 2, 3):
+            reach = _hop(reach, steps, keys, f"_{n}", f"_{n + 1}")
+        levels.append(feature_table(reach, "cooldown_reach"))
+        steps = levels[-1].where("_4 is not null").select(*keys, "_at", F.col("_4").alias("_next"))
+    fired = instants.groupBy(*keys).agg(F.min("_at").alias("_at"))
+    for level in reversed(levels):
+        ahead = attach(fired, level.drop("_4"), [*keys, "_at"])
+        fired = ahead.select(*keys, F.explode(F.array_compact(F.array("_at", "_1", "_2", "_3"))).alias("_at"))
+    names = {k: f"_f_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
+    return df.join(fired.withColumnsRenamed(names), [at == F.col("_at"), *same], "left_semi")
 
-    def ready_after(first: Column) -> Column:
-        return F.aggregate(
-            F.filter("_times", lambda x: x >= first),
-            first + pause,
-            lambda ready, x: F.when(x >= ready, x + pause).otherwise(ready),
-        )
 
-    silenced = F.filter("_times", lambda x: x < F.col("_open") + pause)
-    entries = F.slice("_times", F.lit(1), F.least(F.size(silenced) + 1, F.size("_times")))
-    # Chains that start at different alerts soon meet, so of the entries that end alike (they are
-    # neighbours) only the last is kept.
-    summary = blocks.select(
-        *keys, "_block",
-        F.transform(
-            entries, lambda x: F.struct(x.alias("entry"), ready_after(x).alias("ready"))
-        ).alias("_all"),
-    ).select(
-        *keys, "_block",
-        F.filter(
-            "_all",
-            lambda x, i: (i + 1 == F.size("_all")) | (F.get("_all", i + 1).ready != x.ready),
-        ).alias("_exits"),
-    )
+def _next_to_fire(instants: DataFrame, keys: list[str], pause: int) -> DataFrame:
+    """(keys, _at, _next) of the instants that have a later one at least ``pause`` behind them.
 
-    # A block's entry is its first alert not before the time the key is ready; a block silenced to its
-    # end has none and leaves that time as it was.
-    never = F.lit(-(2**63)).cast("bigint")
-    step = F.struct(
-        F.col("_block").alias("block"), F.col("_exits").alias("exits")
+    Instants and the times at which they let others fire are sorted together in blocks of time; a time with no
+    instant behind it in its block takes the first one of the key's later blocks.
+    """
+    width = max(_DAY_MICROS, 32 * pause)
+    times = instants.select(
+        *keys,
+        F.explode(
+            F.array(
+                F.struct(F.col("_at").alias("_x"), F.col("_at").alias("_hit"), F.lit(None).cast("long").alias("_of")),
+                F.struct((F.col("_at") + pause).alias("_x"), F.lit(None).cast("long").alias("_hit"), F.col("_at").alias("_of")),
+            )
+        ).alias("_e"),
+    ).select(*keys, "_e.*", F.floor(F.col("_e._x") / width).alias("_block"))
+    # frames that begin at the end of the order are sums of a running kind
+    behind = Window.partitionBy(*keys, "_block").orderBy(F.desc("_x")).rangeBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per key and block
+    blocks = (
+        times.groupBy(*keys, "_block").agg(F.min("_hit").alias("_first"))
+        .withColumn("_later", F.min("_first").over(later)).drop("_first")
     )
-
-    def follow(state: Column, x: Column) -> Column:
-        usable = F.filter(x.exits, lambda e: e.entry >= state.ready)
-        return F.struct(
-            F.coalesce(F.get(usable, 0).ready, state.ready).alias("ready"),
-            F.concat(
-                state.starts,
-                F.array(F.struct(x.block.alias("block"), state.ready.alias("ready"))),
-            ).alias("starts"),
-        )
-
-    nothing = F.array().cast("array<struct<block:bigint,ready:bigint>>")
-    starts = (
-        summary.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(step)).alias("_steps"))
-        .select(
-            *keys,
-            F.explode(
-                F.aggregate(
-                    "_steps",
-                    F.struct(never.alias("ready"), nothing.alias("starts")),
-                    follow,
-                    lambda state: state.starts,
-                )
-            ).alias("_start"),
-        )
-        .select(
-            *keys, F.col("_start.block").alias("_block"), F.col("_start.ready").alias("_ready")
-        )
+    found = times.withColumn("_found", F.min("_hit").over(behind)).where("_of is not null")
+    return (
+        attach(found, blocks, [*keys, "_block"])
+        .select(*keys, F.col("_of").alias("_at"), F.coalesce("_found", "_later").alias("_next"))
+        .where("_next is not null")
     )
 
-    def mark(state: Column, x: Column) -> Column:
-        fires = x >= state.ready
-        return F.struct(
-            F.when(fires, x + pause).otherwise(state.ready).alias("ready"),
-            F.when(fires, F.concat(state.fired, F.array(x))).otherwise(state.fired).alias("fired"),
-        )
 
-    fired = (
-        attach(blocks, starts, [*keys, "_block"])
-        .select(
-            *keys,
-            F.explode(
-                F.aggregate(
-                    "_times",
-                    F.struct(
-                        F.col("_ready").alias("ready"),
-                        F.array().cast("array<bigint>").alias("fired"),
-                    ),
-                    mark,
-                    lambda state: state.fired,
-                )
-            ).alias("_fired_at"),
-        )
-    )
-    names = {k: f"_f_{k}" for k in keys}
-    fired = fired.withColumnsRenamed(names)
+def _hop(df: DataFrame, steps: DataFrame, keys: list[str], start: str, out: str) -> DataFrame:
+    """Add the step behind ``start``, NULL where there is none."""
+    names = {k: f"_s_{k}" for k in keys}
+    ahead = steps.withColumnsRenamed({**names, "_at": "_s_at", "_next": out})
+    # rows that have ended already are spread by their own time instead of by NULL
+    spread = F.coalesce(F.col(start), F.col("_at"))
     same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
-    return df.join(fired, [at == F.col("_fired_at"), *same], "left_semi")
+    return df.join(
+        ahead, [spread == F.col("_s_at"), F.col(start).isNotNull(), *same], "left"
+    ).drop("_s_at", *names.values())
 
 
 # -- text ----------------------------------------------------------------------------------------

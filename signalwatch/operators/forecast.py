@@ -150,6 +150,16 @@ def against_mean(model: PipelineModel, train: DataFrame, test: DataFrame) -> Dat
     )
 
 
+def fits_training(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """One row: the training rows, and whether the model's RMSE on them is below that of their mean."""
+    scored = predict(model, train)
+    error = F.col("event_count_true") - F.col("event_count_pred")
+    return scored.agg(
+        F.count("*").alias("train_rows"),
+        (F.sqrt(F.avg(error * error)) < F.stddev_pop("event_count_true")).alias("fits_training"),
+    )
+
+
 def baseline_predictions(
     df: DataFrame, kind: str = "lagged", k: int = 3, by: list[str] = (),
     order: list[str] = KEYS, target: str = "event_count",

@@ -64,10 +64,9 @@ def number_places(
 ) -> DataFrame:
     """Number each key's places 1, 2, ... in order; rows at one place share its number.
 
-    Only the distinct places are numbered: rows that share a place, such as the events of an hour, are
-    combined before the shuffle.  Places are numbered within blocks (a day, or 4096 consecutive
-    values, of the first order column), and shifted by the places in the key's earlier blocks; these
-    offsets are themselves added up in groups of ``BLOCKS`` blocks, and then over the groups.
+    Rows are numbered within blocks (a day, or 4096 consecutive values, of the first order column) by a
+    sort that the rows stay in, and shifted by the places in the key's earlier blocks.  These offsets have a row per key
+    and block; they are themselves added up in groups of ``BLOCKS`` blocks, and then over the groups.
     """
     lead = order[0]
     kind = df.schema[lead].dataType
@@ -78,10 +77,11 @@ def number_places(
     else:
         raise ValueError(f"the first order column must be a time or an integer: {lead}")
     by, places = list(by), [*by, *[c for c in order if c not in by]]
-    chunked = df.select(*places).distinct().withColumns(
-        {"_chunk": block, "_group": F.floor(block / BLOCKS)}
+    chunk = {"_chunk": block, "_group": F.floor(block / BLOCKS)}
+    sizes = (
+        df.select(*places).distinct().withColumns(chunk)
+        .groupBy(*by, "_group", "_chunk").agg(F.count("*").alias("_size"))
     )
-    sizes = chunked.groupBy(*by, "_group", "_chunk").agg(F.count("*").alias("_size"))
     groups = sizes.groupBy(*by, "_group").agg(F.sum("_size").alias("_total"))
     before = Window.unboundedPreceding, -1
     # one row per key and group of blocks
@@ -90,8 +90,10 @@ def number_places(
     in_group = Window.partitionBy(*by, "_group").orderBy("_chunk").rowsBetween(*before)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(in_group), F.lit(0)))
     offsets = attach(sizes.drop("_size"), groups.drop("_total"), [*by, "_group"])
-    local = F.row_number().over(Window.partitionBy(*by, "_group", "_chunk").orderBy(*order))
-    numbered = attach(
-        chunked.withColumn("_local", local), offsets, [*by, "_group", "_chunk"]
-    ).select(*places, (F.col("_local") + F.col("_before") + F.col("_base")).alias(name))
-    return attach(df, numbered, places)
+    local = F.dense_rank().over(Window.partitionBy(*by, "_group", "_chunk").orderBy(*order))
+    ranked = df.withColumns(chunk).withColumn("_local", local)
+    return (
+        attach(ranked, offsets, [*by, "_group", "_chunk"])
+        .withColumn(name, F.col("_local") + F.col("_before") + F.col("_base"))
+        .drop("_chunk", "_group", "_local", "_before", "_base")
+    )

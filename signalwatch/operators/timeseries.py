@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalwatch.functions import bucket_number, bucket_start, seconds, z_score
@@ -73,6 +73,47 @@ def bucket_counts(
     return counts.select(*by, bucket_start("_n", width).alias("bucket"), "event_count")
 
 
+def session_counts(
+    df: DataFrame, t: str, gap: str, by: list[str] = (), value: str | None = None, block: str = "1 day"
+) -> DataFrame:
+    """Events (or a sum) per session: a run of a key's events in which each comes at most ``gap`` after
+    the one before.  A session ends a gap after its last event.
+
+    A session window alone sends all events of a key to one task.  Here sessions are found per key and block of
+    time; only those within a gap of a block's edges, two at most per block, can go on in the next one, and
+    runs of these are put together.  Rows without an event time belong to no session.
+    """
+    by, width = list(by), max(seconds(block), 2 * seconds(gap))
+    total = F.count("*") if value is None else F.sum(value)
+    length = F.expr(f"interval {seconds(gap)} seconds")
+    # bounds are aggregates: a filter on the window itself would be pushed down to the single events
+    parts = (
+        df.where(F.col(t).isNotNull())
+        .groupBy(*by, bucket_number(t, f"{width} seconds").alias("_n"), F.session_window(t, gap))
+        .agg(
+            F.min(t).alias("session_start"), (F.max(t) + length).alias("session_end"), total.alias("event_count")
+        )
+        .select(*by, "session_start", "session_end", "event_count", bucket_start("_n", f"{width} seconds").alias("_from"))
+    )
+    at_edge = (F.col("session_start") <= F.col("_from") + length) | (
+        F.col("session_end") >= F.col("_from") + F.expr(f"interval {width} seconds")
+    )
+    # one or two rows per key and block
+    in_key = Window.partitionBy(*by).orderBy("session_start")
+    starts = F.coalesce(F.col("session_start") > F.lag("session_end").over(in_key), F.lit(True))
+    runs = (
+        parts.where(at_edge).withColumn("_new", starts.cast("int"))
+        .withColumn("_run", F.sum("_new").over(in_key.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*by, "_run")
+        .agg(
+            F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+            F.sum("event_count").alias("event_count"),
+        )
+        .drop("_run")
+    )
+    return parts.where(~at_edge).drop("_from").unionByName(runs)
+
+
 def sliding_counts(
     df: DataFrame, t: str, width: str, slide: str, by: list[str] = (), value: str | None = None,
     every_slide: bool = False,

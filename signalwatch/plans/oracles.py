@@ -263,6 +263,8 @@ def _with_views(sql: str) -> str:
         return sql
     if sql.startswith("with recursive "):
         return f"with recursive {ctes},\n{sql[len('with recursive '):]}"
+    if sql.startswith("with "):
+        return f"with {ctes},\n{sql[len('with '):]}"
     return f"with {ctes}\n{sql}"
 
 
@@ -304,10 +306,37 @@ _BY_REGION = (
     f"select region, symptoms, event_count, {_r('avg_severity_score')} as avg_severity_score "
     "from by_region"
 )
+_TRAIN_ROWS = "where (day_of_week * 24 + hour_of_day) % 5 <> 0"
 _TEST_ROWS = "where (day_of_week * 24 + hour_of_day) % 5 = 0"
 _FIRED_REGIONS = _cooldown("volume", "region")
 _FIRED_LEVELS = _cooldown("levels", "1")
 
+# Reports and readings of the join in time, and the events that its stream gets behind the watermark.
+_REPORTS = """select event_id, event_timestamp, event_timestamp as ts, region, severity from symptoms
+  where symptoms in ('click', 'view')"""
+_READINGS = f"""select {_REGION} as region, ts as reading_time, value as temperature_f, ts, event_id from events
+  where event_type = 'error'"""
+_LATE = """(cast(event_id as bigint) % 50 = 7 and epoch_us(ts) < (
+  select min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) // 4 from events))"""
+
+
+def _sessions(wanted: str) -> str:
+    """Runs of a region's events at most ten minutes apart (gaps and islands)."""
+    return f"""
+with times as (
+  select region, ts, count(*) as n from (select event_id, region, event_timestamp as ts from symptoms)
+  where {wanted} group by 1, 2),
+marked as (
+  select *, lag(ts) over (partition by region order by ts) as before from times),
+numbered as (
+  select *, sum(case when before is null or ts > before + interval '10 minutes' then 1 else 0 end)
+    over (partition by region order by ts rows unbounded preceding) as run
+  from marked)
+select region, min(ts) as session_start, max(ts) + interval '10 minutes' as session_end,
+  cast(sum(n) as bigint) as event_count
+from numbered group by region, run"""
+
+
 _ENV = {
     "env_avg_temp": f"""
 select region, {_r('avg(temperature_f)')} as avg_temperature_f from env group by region""",
@@ -749,6 +778,85 @@ from hourly_region""",
     "stream_cooldown": f"""{_FIRED_REGIONS}
 select v.region, v.window_end, v.event_count
 from volume v join fired f on f.k = v.region and f.t = v.window_end""",
+    "archive_in_files": """
+select event_type, count(*) as row_count, true as few_files from raw
+where event_type in ('symptom_report', 'clinic_visit', 'environmental_conditions') group by 1""",
+    "zscore_running": f"""
+select region, bucket, event_count, {_r('z_score')} as z_score from (
+  select *, (event_count - avg(event_count) over w) / nullif(stddev_pop(event_count) over w, 0) as z_score
+  from hourly_region where region is not null window w as (partition by region))
+where date_trunc('day', bucket) = (select max(date_trunc('day', bucket)) from hourly_region where region is not null)""",
+    "models_fit_training": f"""
+select model_name, (select count(*) from patterns {_TRAIN_ROWS}) as train_rows, true as fits_training
+from (values ('linear_regression'), ('random_forest'), ('gradient_boosting')) m(model_name)""",
+    "alert_multi_metric_in_time": f"""
+with region_days as (
+  select date_trunc('day', event_timestamp) as window_start, region, count(*) as event_count
+  from flags where region is not null group by 1, 2),
+day_scores as (
+  select window_start, window_start + interval '1 day' as window_end, region, event_count,
+    (event_count - avg(event_count) over w) / nullif(stddev_pop(event_count) over w, 0) as z_score
+  from region_days window w as (partition by region)),
+quality_rows as (
+  select region, to_timestamp((cast(epoch(event_timestamp) as bigint) // 25200 + 1) * 25200)::timestamp as evaluated_at,
+    {_FAILURE_RATE} as rate
+  from (select * from flags where region is not null) group by 1, 2)
+select s.window_start, s.window_end, s.region, s.event_count, {_r('s.z_score')} as z_score, e.evaluated_at,
+  {_r('e.rate')} as dq_failure_rate
+from day_scores s asof join quality_rows e on s.region = e.region and s.window_end >= e.evaluated_at
+where s.z_score >= 0 and s.event_count >= 20 and e.rate >= 20 and s.window_end - e.evaluated_at <= interval '1 day'""",
+    # joins in time, sessions, streams that are resumed
+    "range_join": f"""
+select s.event_id, s.event_timestamp, s.region, s.severity, r.reading_time, {_r('r.temperature_f')} as temperature_f
+from ({_REPORTS}) s left join ({_READINGS}) r
+  on r.region = s.region and r.reading_time between s.event_timestamp - interval '30 minutes' and s.event_timestamp""",
+    "stream_join": f"""
+select s.event_id, s.event_timestamp, s.region, s.severity, r.reading_time, {_r('r.temperature_f')} as temperature_f
+from ({_REPORTS} and not {_LATE}) s left join ({_READINGS} and not {_LATE}) r
+  on r.region = s.region and r.reading_time between s.event_timestamp - interval '30 minutes' and s.event_timestamp""",
+    "session_region_counts": _sessions("true"),
+    "stream_sessions": _sessions(f"not {_LATE}"),
+    "stream_symptom_rollups": f"""
+select 'symptom_by_region' as table_name, region as first_key, symptoms as second_key, event_count,
+  {_r('avg_severity_score')} as value
+from by_region
+union all
+select 'severity_distribution', severity, cast(hour(event_timestamp) as varchar), count(*),
+  {_r('100.0 * count(*) / sum(count(*)) over ()')}
+from symptoms group by 2, 3
+union all
+select 'temporal_patterns', cast(dayofweek(event_timestamp) + 1 as varchar), cast(hour(event_timestamp) as varchar),
+  count(*), cast(count(distinct patient_id) as double)
+from symptoms group by 2, 3
+union all
+select 'data_quality_metrics', rule, null, n, cast(bad as double) from (
+  select count(*) as n, sum(case when region is null then 1 else 0 end) as missing,
+    sum(case when region is not null and region not in ('NE', 'NW', 'SE', 'SW') then 1 else 0 end) as unknown
+  from symptoms) d,
+  lateral (values ('region_null_fail', missing), ('region_allowed_fail', unknown), ('dq_fail', missing + unknown),
+    ('rows_with_any_failure', missing + unknown)) v(rule, bad)""",
+    "stream_environment_rollups": f"""
+with readings_by_region as (
+  select region, avg(temperature_f) as t, avg(air_quality_index) as a, avg(pollen_count) as p, avg(uv_index) as u
+  from env group by 1),
+readings_by_hour as (
+  select cast(hour(event_timestamp) as varchar) as h, avg(temperature_f) as t, avg(humidity_percent) as m,
+    avg(wind_speed_mph) as w
+  from env group by 1)
+select table_name, first_key, second_key, cast(null as bigint) as event_count, {_r('value + 1e-9')} as value from (
+  select 'env_avg_temp' as table_name, region as first_key, 'avg_temperature_f' as second_key, t as value from readings_by_region
+  union all select 'env_aqi_distribution', region, 'avg_air_quality', a from readings_by_region
+  union all select 'env_aqi_distribution', region, 'avg_pollen_count', p from readings_by_region
+  union all select 'env_aqi_distribution', region, 'avg_uv_index', u from readings_by_region
+  union all select 'env_hourly_temp', h, 'average_temp', t from readings_by_hour
+  union all select 'env_hourly_temp', h, 'average_humidity', m from readings_by_hour
+  union all select 'env_hourly_temp', h, 'average_windspeed', w from readings_by_hour)""",
+    "stream_cooldown_any_order": f"""{_FIRED_REGIONS}
+select v.region, v.window_end, v.event_count
+from volume v join fired f on f.k = v.region and f.t = v.window_end""",
+    "stream_by_interval": "select event_id, region, severity from symptoms",
+    "stamp_as_of": """
+select region, symptoms, event_count, timestamp '2024-03-01 12:00:00' as last_updated from by_region""",
 }
 
 ORACLES = {name: _with_views(sql) for name, sql in _QUERIES.items()}

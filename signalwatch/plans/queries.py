@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from signalwatch import adapters as A
 from signalwatch.operators import (
-    alerts, analytics, anomaly, forecast, ingest, monitoring, projections, quality, timeseries,
+    alerts, analytics, anomaly, forecast, ingest, matching, monitoring, projections, quality, timeseries,
 )
 from signalwatch.operators.projections import ordered
 from signalwatch.schemas import ROUTES, SYMPTOM_REPORT
@@ -139,6 +139,20 @@ def archive_by_type(spark, sf_dir):
     )
 
 
+@query
+def archive_in_files(spark, sf_dir):
+    """The archive in files of bounded size: rows per type, and the files that hold them."""
+    routed = ingest.with_route(ingest.extract_type(_raw(spark, sf_dir)))
+    events = readers.decode_json(routed.where(F.col("route") != ingest.UNMATCHED), SYMPTOM_REPORT)
+    path = run_dir(spark, "archive_in_files")
+    for _ in range(2):  # a batch that is written again replaces itself
+        sinks.archive_by_type(events, path, rows_per_file=1000)
+    back = spark.read.schema(SYMPTOM_REPORT).json(path).withColumn("_file", F.input_file_name())
+    return back.groupBy("event_type").agg(
+        F.count("*").alias("row_count"), (F.count_distinct("_file") <= F.ceil(F.count("*") / 1000)).alias("few_files")
+    )
+
+
 @query
 def snapshot_sink(spark, sf_dir):
     path = run_dir(spark, "snapshot")
@@ -460,6 +474,21 @@ def zscore_by_region(spark, sf_dir):
     )
 
 
+@query
+def zscore_running(spark, sf_dir):
+    """The newest day's hours against all days: its moments are merged into the stored ones of the days before."""
+    hourly = sinks.feature_table(
+        projections.not_null(_hourly(spark, sf_dir, ["region"]), ["region"]).withColumn("day", F.to_date("bucket")), "hourly_counts"
+    )
+    path = run_dir(spark, "daily_moments")
+    newest = hourly.agg(F.max("day")).first()[0]
+    before, today = hourly.where(F.col("day") < F.lit(newest)), hourly.where(F.col("day") == F.lit(newest))
+    sinks.append_result(anomaly.moments(before, "event_count", ["region", "day"]), path, "before")
+    for _ in range(2):  # a day that is added again replaces itself
+        known = anomaly.update_moments(today, path, "newest", "event_count", ["region"])
+    return anomaly.score_with_moments(today.drop("day"), "event_count", known, ["region"])
+
+
 @query
 def zscore_history(spark, sf_dir):
     return timeseries.history_zscore(
@@ -575,6 +604,31 @@ def alert_multi_metric(spark, sf_dir):
     )
 
 
+@query
+def alert_multi_metric_in_time(spark, sf_dir):
+    """Busy, unusual days of a region whose newest quality evaluation, every 7 hours, is bad.
+
+    One pass over the events gives the hourly counts that all views come from.
+    """
+    checked = quality.validate(_dq(spark, sf_dir)).where("region is not null")
+    hourly = sinks.feature_table(
+        checked.groupBy(timeseries.bucket_start(timeseries.bucket_number(T, "1 hour"), "1 hour").alias("hour"), "region")
+        .agg(F.count("*").alias("event_count"), F.count_if(F.col("dq_fail") > 0).alias("failing")),
+        "hourly_quality",
+    )
+    daily = timeseries.tumbling_counts(hourly, "hour", "1 day", ["region"], "event_count")
+    evaluated = timeseries.tumbling_counts(hourly, "hour", "7 hours", ["region"], "failing").withColumnRenamed("event_count", "failing")
+    totals = timeseries.tumbling_counts(hourly, "hour", "7 hours", ["region"], "event_count")
+    quality_rows = evaluated.join(totals, ["window_start", "window_end", "region"]).select(
+        "region", F.col("window_end").alias("evaluated_at"),
+        F.try_divide(100.0 * F.col("failing"), F.col("event_count")).alias("dq_failure_rate"),
+    )
+    return alerts.multi_metric_in_time(
+        anomaly.with_zscore(daily, "event_count", ["region"]), [(quality_rows, "evaluated_at")], "window_end", ["region"],
+        {"z_score": 0.0, "event_count": 20, "dq_failure_rate": 20}, within="1 day",
+    )
+
+
 # -- data quality --------------------------------------------------------------------------------
 
 
@@ -629,21 +683,29 @@ def forecast_split(spark, sf_dir):
     )
 
 
-def _fit(patterns, kind, features):
+_FITTED: dict[tuple, object] = {}
+
+
+def _fit(spark, sf_dir, kind, features):
+    """A model with its training and test rows; queries over the same tables share the model."""
+    patterns = _patterns_table(spark, sf_dir)
     train, test = forecast.split_by_key(forecast.forecast_features(patterns))
-    # hours of the week: 168 rows at most
-    return forecast.fit_forecast(train, kind, features, partitions=1), train, test
+    name = (spark.sparkContext.applicationId, sf_dir, kind, *features)
+    if name not in _FITTED:
+        # hours of the week: 168 rows at most
+        _FITTED[name] = forecast.fit_forecast(train, kind, features, partitions=1)
+    return _FITTED[name], train, test
 
 
 def _scored(spark, sf_dir, kind, features):
-    model, _, test = _fit(_patterns_table(spark, sf_dir), kind, features)
+    model, _, test = _fit(spark, sf_dir, kind, features)
     when = F.lit("2025-01-01 00:00:00").cast("timestamp")
     return forecast.predictions(model, test, f"run_{kind}", when)
 
 
 @query
 def forecast_linear2(spark, sf_dir):
-    model, _, test = _fit(_patterns_table(spark, sf_dir), "linear", forecast.FEATURES_2)
+    model, _, test = _fit(spark, sf_dir, "linear", forecast.FEATURES_2)
     (by_day, by_hour), intercept = forecast.linear_terms(model)
     return forecast.regression_metrics(forecast.predict(model, test)).select(
         F.lit(by_day).alias("coef_day"), F.lit(by_hour).alias("coef_hour"),
@@ -664,7 +726,7 @@ def forecast_linear5(spark, sf_dir):
 @query
 def forecast_random_forest(spark, sf_dir):
     return forecast.against_mean(
-        *_fit(_patterns_table(spark, sf_dir), "random_forest", forecast.FEATURES_5)
+        *_fit(spark, sf_dir, "random_forest", forecast.FEATURES_5)
     )
 
 
@@ -672,7 +734,7 @@ def forecast_random_forest(spark, sf_dir):
 def forecast_gbt(spark, sf_dir):
     # whether boosting beats the mean depends on the size of the tables: see models_against_mean
     return forecast.against_mean(
-        *_fit(_patterns_table(spark, sf_dir), "gbt", forecast.FEATURES_2)
+        *_fit(spark, sf_dir, "gbt", forecast.FEATURES_2)
     ).drop("beats_mean")
 
 
@@ -688,11 +750,18 @@ def forecast_metrics(spark, sf_dir):
     ).drop("run_id")
 
 
+_KINDS = {
+    "linear_regression": ("linear", forecast.FEATURES_2),
+    "random_forest": ("random_forest", forecast.FEATURES_5),
+    "gradient_boosting": ("gbt", forecast.FEATURES_2),
+}
+
+
 @query
 def model_comparison(spark, sf_dir):
     patterns = _patterns_table(spark, sf_dir)
     counts = patterns.select("day_of_week", "hour_of_day", "event_count")
-    model, _, test = _fit(patterns, "linear", forecast.FEATURES_2)
+    model, _, test = _fit(spark, sf_dir, "linear", forecast.FEATURES_2)
 
     def held_out(scored):
         return forecast.regression_metrics(forecast.split_by_key(scored)[1])
@@ -711,18 +780,36 @@ def model_comparison(spark, sf_dir):
 
 @query
 def models_against_mean(spark, sf_dir):
-    patterns = _patterns_table(spark, sf_dir)
-    kinds = {
-        "linear_regression": ("linear", forecast.FEATURES_2),
-        "random_forest": ("random_forest", forecast.FEATURES_5),
-        "gradient_boosting": ("gbt", forecast.FEATURES_2),
-    }
     rows = [
-        forecast.against_mean(*_fit(patterns, kind, features))
+        forecast.against_mean(*_fit(spark, sf_dir, kind, features))
         .select(F.lit(name).alias("model_name"), "train_rows", "test_rows", "beats_mean").limit(1)
-        for name, (kind, features) in kinds.items()
+        for name, (kind, features) in _KINDS.items()
     ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def models_fit_training(spark, sf_dir):
+    """Every model explains its training rows better than their mean does."""
+    fits = []
+    for name, (kind, features) in _KINDS.items():
+        model, train, _ = _fit(spark, sf_dir, kind, features)
+        fits.append(forecast.fits_training(model, train).withColumn("model_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, fits)
+
+
+@query
+def model_comparison_all(spark, sf_dir):
+    """Baselines, linear, forest and boosting, all scored on the same held-out rows."""
+    counts = _pattern_counts(spark, sf_dir)
+    scored = {
+        "rolling_avg_k=3": forecast.split_by_key(forecast.baseline_predictions(counts, "lagged", 3))[1],
+        "trailing_inclusive_5": forecast.split_by_key(forecast.baseline_predictions(counts, "trailing_inclusive", 5))[1],
+    }
+    for name, (kind, features) in _KINDS.items():
+        model, _, test = _fit(spark, sf_dir, kind, features)
+        scored[name] = forecast.predict(model, test)
+    return forecast.model_comparison({name: forecast.regression_metrics(df) for name, df in scored.items()}, "run_1")
 
 
 @query
@@ -956,3 +1043,199 @@ def stream_cooldown(spark, sf_dir):
         sinks.append_sink(out), "stream_cooldown",
     )
     return sinks.read_history(spark, out).drop("batch_id")
+
+
+# -- streams that are stopped and resumed --------------------------------------------------------
+
+
+def _in_turns(spark, name, parts, start):
+    """Deliver parts of a table one after the other; the queries are resumed from their checkpoints for each."""
+    source = run_dir(spark, f"{name}-source")
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        for started in start(source):
+            started.awaitTermination()
+
+
+def _with_late_rows(spark, sf_dir):
+    """The events in three deliveries: the first half in time without some early events; these, behind the
+    watermark by then, with the second half; and a closing event of each kind a month later."""
+    events = A.events(spark, sf_dir)
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    at, half, quarter = F.unix_micros("ts"), low + (high - low) // 2, low + (high - low) // 4
+    late = (F.col("event_id") % 50 == 7) & (at < quarter)
+    closing = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.timestamp_micros(F.lit(high + 30 * 86_400_000_000)).alias("ts"),
+        F.lit(0).cast("bigint").alias("user_id"), F.explode(F.array(F.lit("click"), F.lit("error"))).alias("event_type"),
+        F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    return [events.where((at < half) & ~late), events.where((at >= half) | late), closing]
+
+
+def _events_under(spark, source):
+    return readers.read_event_stream(spark, "parquet", {}, A.EVENTS_SCHEMA, source)
+
+
+def _reports(events):
+    return A.symptom_reports(events.where(F.col("event_type").isin("click", "view"))).select("event_id", T, "region", "severity")
+
+
+def _readings(events):
+    return A.environmental_conditions(events.where("event_type = 'error'")).select(
+        "region", F.col(T).alias("reading_time"), "temperature_f"
+    )
+
+
+@query
+def range_join(spark, sf_dir):
+    """Reports with the readings of their region of the half hour before."""
+    events = A.events(spark, sf_dir)
+    return matching.range_join(_reports(events), _readings(events), T, "reading_time", ["region"], "30 minutes")
+
+
+@query
+def stream_join(spark, sf_dir):
+    out, root = run_dir(spark, "stream_join"), run_dir(spark, "stream_join-checkpoint")
+
+    def start(source):
+        reports, readings = _reports(_events_under(spark, source)), _readings(_events_under(spark, source))
+        joined = streams.range_join_stream(reports, readings, T, "reading_time", ["region"], "30 minutes")
+        return [streams.start_stream(joined, sinks.append_sink(out), "stream_join", root, trigger="availableNow", state_partitions=4)]
+
+    _in_turns(spark, "stream_join", _with_late_rows(spark, sf_dir), start)
+    return sinks.read_history(spark, out).where("event_id <> '-1'").drop("batch_id")
+
+
+@query
+def session_region_counts(spark, sf_dir):
+    return timeseries.session_counts(_symptoms(spark, sf_dir), T, "10 minutes", ["region"])
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    out, root = run_dir(spark, "stream_sessions"), run_dir(spark, "stream_sessions-checkpoint")
+
+    def start(source):
+        found = streams.session_stream(A.symptom_reports(_events_under(spark, source)), T, "10 minutes", ["region"])
+        return [streams.start_stream(found, sinks.append_sink(out), "stream_sessions", root, trigger="availableNow", state_partitions=4)]
+
+    _in_turns(spark, "stream_sessions", _with_late_rows(spark, sf_dir), start)
+    return sinks.read_history(spark, out).drop("batch_id")
+
+
+def _long(name, df, keys, value):
+    """A table as (table_name, first_key, second_key, event_count, value) rows."""
+    first, second = [*keys, None][:2]
+    return df.select(
+        F.lit(name).alias("table_name"), F.col(first).cast("string").alias("first_key"),
+        (F.col(second) if second else F.lit(None)).cast("string").alias("second_key"),
+        (F.col("event_count") if "event_count" in df.columns else F.lit(None)).cast("bigint").alias("event_count"),
+        F.col(value).cast("double").alias("value"),
+    )
+
+
+def _halves(spark, sf_dir):
+    return [A.events(spark, sf_dir).where(F.col("event_id") % 2 == i) for i in (0, 1)]
+
+
+@query
+def stream_symptom_rollups(spark, sf_dir):
+    """All four tables of the symptom job from one query, resumed for the second half of the events."""
+    root = run_dir(spark, "stream_symptom_rollups")
+    tables = ("symptom_by_region", "severity_distribution", "temporal_patterns")
+    sink = {name: sinks.snapshot_sink(f"{root}/{name}") for name in tables}
+    sink["data_quality_metrics"] = sinks.append_sink(f"{root}/data_quality_metrics")
+
+    def start(source):
+        events = ingest.with_severity_score(A.symptom_reports(_events_under(spark, source)))
+        return [jobs.start_symptom_rollups(events, sink, root, trigger="availableNow")]
+
+    _in_turns(spark, "stream_symptom_rollups", _halves(spark, sf_dir), start)
+    found = {name: sinks.read_snapshot(spark, f"{root}/{name}") for name in tables}
+    history = sinks.read_history(spark, f"{root}/data_quality_metrics")
+    failures = history.select(
+        F.explode(
+            F.array(*[
+                F.struct(F.lit(c).alias("rule"), F.col("total_records").alias("event_count"), F.col(c).cast("bigint").alias("failures"))
+                for c in ("region_null_fail", "region_allowed_fail", "dq_fail", "rows_with_any_failure")
+            ])
+        ).alias("x")
+    ).select("x.*").groupBy("rule").agg(F.sum("event_count").alias("event_count"), F.sum("failures").alias("failures"))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _long("symptom_by_region", found["symptom_by_region"], ["region", "symptoms"], "avg_severity_score"),
+            _long("severity_distribution", found["severity_distribution"], ["severity", "hour_of_day"], "percentage"),
+            _long("temporal_patterns", found["temporal_patterns"], ["day_of_week", "hour_of_day"], "unique_patients"),
+            _long("data_quality_metrics", failures, ["rule"], "failures"),
+        ],
+    )
+
+
+@query
+def stream_environment_rollups(spark, sf_dir):
+    root = run_dir(spark, "stream_environment_rollups")
+    tables = ("env_avg_temp", "env_aqi_distribution", "env_hourly_temp")
+    sink = {name: sinks.snapshot_sink(f"{root}/{name}") for name in tables}
+
+    def start(source):
+        events = A.environmental_conditions(_events_under(spark, source))
+        return [jobs.start_environment_rollups(events, sink, root, trigger="availableNow")]
+
+    _in_turns(spark, "stream_environment_rollups", _halves(spark, sf_dir), start)
+    found = {name: sinks.read_snapshot(spark, f"{root}/{name}").drop("last_updated") for name in tables}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            # means of readings with few digits lie on the edge of rounding; both engines are nudged off it
+            _long(name, df, [df.columns[0], None], value).withColumn("second_key", F.lit(value))
+            .withColumn("value", F.col("value") + 1e-9)
+            for name, df in found.items() for value in df.columns[1:]
+        ],
+    )
+
+
+@query
+def stream_cooldown_any_order(spark, sf_dir):
+    """Alerts that come up to half a day late, in three deliveries; the closing one settles the rest."""
+    out, root = run_dir(spark, "stream_cooldown_any_order"), run_dir(spark, "stream_cooldown_any_order-checkpoint")
+    found = sinks.feature_table(
+        alert_volume(spark, sf_dir).select("region", "window_end", "event_count"), "volume_alerts"
+    )
+    low, high = found.agg(F.unix_seconds(F.min("window_end")), F.unix_seconds(F.max("window_end"))).first()
+    arrives = F.unix_seconds("window_end") + F.pmod(F.xxhash64("region", "window_end"), F.lit(43200))
+    half = 0 if low is None else low + (high - low) // 2
+    closing = spark.range(1).select(
+        F.lit("closing").alias("region"), F.timestamp_seconds(F.lit((high or 0) + 30 * 86400)).alias("window_end"),
+        F.lit(0).cast("bigint").alias("event_count"),
+    )
+
+    def start(source):
+        arriving = readers.read_event_stream(spark, "parquet", {}, found.schema, source)
+        fired = streams.settled_cooldown_stream(arriving, "window_end", ["region"], 360, "24 hours")
+        return [streams.start_stream(fired, sinks.append_sink(out), "stream_cooldown_any_order", root, trigger="availableNow", state_partitions=4)]
+
+    _in_turns(spark, "stream_cooldown_any_order", [found.where(arrives < half), found.where(arrives >= half), closing], start)
+    return sinks.read_history(spark, out).where("region <> 'closing'").drop("batch_id")
+
+
+@query
+def stream_by_interval(spark, sf_dir):
+    """A query on a processing-time trigger, stopped once it has read all there is."""
+    out = run_dir(spark, "stream_by_interval")
+    started = streams.start_stream(
+        A.symptom_reports(_stream(spark, sf_dir)).select("event_id", "region", "severity"), sinks.append_sink(out),
+        "stream_by_interval", run_dir(spark, "stream_by_interval-checkpoint"), trigger="1 second",
+    )
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    return sinks.read_history(spark, out).drop("batch_id")
+
+
+@query
+def stamp_as_of(spark, sf_dir):
+    """The region table, stamped with the time that the caller gives."""
+    by_region = analytics.symptom_by_region(_symptoms(spark, sf_dir)).select("region", "symptoms", "event_count")
+    return projections.stamp(by_region, last_updated=F.lit("2024-03-01 12:00:00").cast("timestamp"))

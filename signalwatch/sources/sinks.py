@@ -81,6 +81,34 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{max(names)}")
 
 
+def merge_batch(
+    path: str, delta: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame], keep: int = 2
+) -> DataFrame:
+    """Merge a batch into the state table under ``path`` and return the new state.
+
+    The state is the newest snapshot of an earlier batch with the batch's rows, merged; so a batch that is
+    replayed, or written twice, gives the same state.  ``merge`` takes and returns rows of the table's
+    schema.  Snapshots of the ``keep`` newest batches stay, for replays and for readers.
+    """
+    spark = delta.sparkSession
+    fs, marks = _folder(spark, f"{path}/_done")
+    names = sorted(m.getPath().getName() for m in fs.listStatus(marks)) if fs.exists(marks) else []
+    earlier = [n for n in names if int(n.split("-")[0]) < batch_id]
+    rows = delta
+    if earlier:
+        rows = spark.read.schema(delta.schema).parquet(f"{path}/{earlier[-1]}").unionByName(delta)
+    name = f"{batch_id:020d}-{uuid.uuid4().hex}"
+    merge(rows).write.parquet(f"{path}/{name}")
+    fs.mkdirs(marks)
+    fs.create(_folder(spark, f"{path}/_done/{name}")[1], True).close()
+    kept = {f"{batch_id:020d}", *sorted({n.split("-")[0] for n in earlier})[-(keep - 1):]} if keep > 1 else {f"{batch_id:020d}"}
+    for old in earlier:
+        if old.split("-")[0] not in kept:
+            fs.delete(_folder(spark, f"{path}/_done/{old}")[1], False)
+            fs.delete(_folder(spark, f"{path}/{old}")[1], True)
+    return spark.read.schema(delta.schema).parquet(f"{path}/{name}")
+
+
 def jdbc_snapshot_sink(options: dict[str, str]) -> BatchSink:
     """Replace a database table on each batch, keeping its definition, indexes and grants."""
 
@@ -212,20 +240,43 @@ def publish_by_type(
 
 
 def archive_by_type(
-    df: DataFrame, path: str, batch_id: int = 0, type_col: str = "event_type"
+    df: DataFrame, path: str, batch_id: int = 0, type_col: str = "event_type",
+    rows_per_file: int | None = None,
 ) -> None:
     """Write events as JSON into one folder per type.
 
-    No shuffle: each task writes its own rows, so a type holding most rows stays spread over tasks.
-    A repeated batch replaces the folders it wrote before and touches no others.
+    Without ``rows_per_file`` there is no shuffle: each task writes its own rows and a file per type.  With it, rows are
+    counted per type and dealt by type and a number, so that a batch writes no more files of a type than its rows need
+    and a type holding most rows stays spread over tasks.  A repeated batch replaces the folders it
+    wrote before and touches no others.
     """
+    numbered = df.withColumn("batch_id", F.lit(batch_id))
+    if rows_per_file is None:
+        _archive(numbered, path, type_col)
+        return
+    kept = numbered.persist()
+    try:
+        files = F.ceil(F.count("*") / rows_per_file)
+        sizes = kept.groupBy(type_col).agg(files.alias("_files")).withColumnRenamed(type_col, "_type")
+        total = sizes.agg(F.sum("_files")).first()[0] or 1
+        numbers = F.monotonically_increasing_id()
+        dealt = kept.withColumn("_number", numbers).join(sizes, F.col(type_col).eqNullSafe(F.col("_type")))
+        _archive(
+            dealt.withColumn("_number", F.col("_number") % F.col("_files")).repartition(total, type_col, "_number")
+            .drop("_number", "_files", "_type"),
+            path, type_col,
+        )
+    finally:
+        kept.unpersist()
+
+
+def _archive(df: DataFrame, path: str, type_col: str) -> None:
     (
-        df.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(type_col, "batch_id").json(path)
     )
 
 
-def archive_sink(path: str, type_col: str = "event_type") -> BatchSink:
+def archive_sink(path: str, type_col: str = "event_type", rows_per_file: int | None = None) -> BatchSink:
     """``archive_by_type`` for streams."""
-    return lambda df, batch_id: archive_by_type(df, path, batch_id, type_col)
+    return lambda df, batch_id: archive_by_type(df, path, batch_id, type_col, rows_per_file)

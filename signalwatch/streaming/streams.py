@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from signalwatch.operators.matching import range_join
 from signalwatch.operators.quality import DEFAULT_RULES, run_dq, schema_flags
 from signalwatch.operators.timeseries import tumbling_counts
 from signalwatch.session import ROCKSDB_PROVIDER, session_conf
@@ -34,7 +36,11 @@ def start_stream(
     as fast as possible.  A stateful query keeps the number of shuffle partitions of its first start;
     ``state_partitions`` sets it there (adaptive execution does not change it later).
     """
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        # sessions of a hot key are merged in each task before they are shuffled
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     writer = (
@@ -106,6 +112,40 @@ def sliding_stream(
     )
 
 
+def session_stream(
+    df: DataFrame, t: str, gap: str, by: list[str] = (), lateness: str = "10 minutes"
+) -> DataFrame:
+    """Events per session, as ``timeseries.session_counts``; a session is final, and comes out in append mode,
+    when the watermark has passed its end.  Events that arrive between two open sessions merge them."""
+    return (
+        df.where(F.col(t).isNotNull()).withWatermark(t, lateness)
+        .groupBy(F.session_window(t, gap).alias("_session"), *by)
+        .agg(F.count("*").alias("event_count"))
+        .select(
+            *by, F.col("_session.start").alias("session_start"),
+            F.col("_session.end").alias("session_end"), "event_count",
+        )
+    )
+
+
+def range_join_stream(
+    left: DataFrame, right: DataFrame, t: str, right_t: str, by: list[str], before: str,
+    after: str | None = None, how: str = "left", lateness: str = "10 minutes",
+    right_lateness: str | None = None,
+) -> DataFrame:
+    """``matching.range_join`` of two streams, each with a watermark of its own.
+
+    A row leaves the state when no row of the other side that is still allowed can meet it; a left row that met none comes
+    out then.  Both bounds follow the slower side.  Rows without a time are left out, and so are rows
+    behind the watermark (``late_rows``).
+    """
+    return range_join(
+        left.where(F.col(t).isNotNull()).withWatermark(t, lateness),
+        right.where(F.col(right_t).isNotNull()).withWatermark(right_t, right_lateness or lateness),
+        t, right_t, by, before, after, how,
+    )
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came behind the watermark and were left out, as far as the query's progress is kept."""
     return sum(
@@ -180,3 +220,99 @@ def cooldown_stream(
             fire, schema, "last bigint", "append", GroupStateTimeout.EventTimeTimeout
         )
     )
+
+
+class _Clock(StatefulProcessor):
+    """Fires a key's instants in order of time, however they arrive.
+
+    The state is the last instant that fired and those that wait for the watermark; a timer at the earliest one
+    settles all that the watermark has passed.
+    """
+
+    def __init__(self, pause: int, keys: list[str], t: str):
+        self.pause, self.keys, self.t = pause, keys, t
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at bigint")
+        self.waiting = handle.getListState("waiting", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        earliest = None
+        for frame in rows:
+            times = frame[self.t].astype("datetime64[us]").astype("int64").unique()
+            if len(times):
+                self.waiting.appendList([(int(at),) for at in times])
+                earliest = min(times.min(), earliest) if earliest is not None else times.min()
+        if earliest is not None:
+            self.handle.registerTimer(_millis(int(earliest)))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        times = sorted({at for (at,) in self.waiting.get()})
+        due = [at for at in times if at <= passed]
+        later = times[len(due):]
+        if later:
+            self.waiting.put([(at,) for at in later])
+            self.handle.registerTimer(_millis(later[0]))
+        else:
+            self.waiting.clear()
+        last = self.last.get()[0] if self.last.exists() else None
+        fired = []
+        for at in due:
+            if last is None or at - last >= self.pause:
+                last = at
+                fired.append(at)
+        if fired:
+            self.last.update((last,))
+            frame = pd.DataFrame({self.t: pd.to_datetime(fired, unit="us")})
+            for name, value in zip(self.keys, key, strict=True):
+                frame[name] = value
+            yield frame[[*self.keys, self.t]]
+
+    def close(self) -> None:
+        pass
+
+
+def _millis(at: int) -> int:
+    """The first millisecond that is not before a time in microseconds."""
+    return -(-at // 1000)
+
+
+def fired_instants_stream(
+    df: DataFrame, t: str, keys: list[str], minutes: float, lateness: str = "10 minutes"
+) -> DataFrame:
+    """The (keys, t) at which alerts fire after the cooldown, for alerts that arrive in any order within ``lateness``.
+
+    Equal to ``alerts.apply_cooldown`` on the table of all alerts but late ones.  An instant is settled when
+    the watermark has passed it, so none that may still come can change what fires.  Alerts of an instant are reduced
+    to one row by tasks that share them by key and time, so the clock of a key, also the only one of ``keys=[]``,
+    sees a row per instant, not the alerts.  The last instant that fired stays in the state: an
+    alert may come after any pause.
+    """
+    pause = int(minutes * 60_000_000)
+    clocks, keys = df.where(F.col(t).isNotNull()).withWatermark(t, lateness), list(keys)
+    if not keys:
+        clocks, keys = clocks.withColumn("_clock", F.lit(0)), ["_clock"]
+    instants = clocks.select(*keys, t).dropDuplicatesWithinWatermark([*keys, t])
+    schema = StructType([instants.schema[c] for c in (*keys, t)])
+    settled = instants.groupBy(*keys).transformWithStateInPandas(
+        _Clock(pause, keys, t), schema, "Append", "EventTime", eventTimeColumnName=t
+    )
+    return settled.drop("_clock")
+
+
+def settled_cooldown_stream(
+    df: DataFrame, t: str, keys: list[str], minutes: float, lateness: str = "10 minutes"
+) -> DataFrame:
+    """``alerts.apply_cooldown`` for a stream of alerts in any order: all columns of the alerts that fire.
+
+    The instants that fire are joined with the alerts, which wait for them dealt by key and time.
+    """
+    fired = fired_instants_stream(df, t, keys, minutes, lateness)
+    names = {c: f"_fired_{c}" for c in (*keys, t)}
+    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
+    alerts = df.where(F.col(t).isNotNull()).withWatermark(t, lateness)
+    joined = alerts.join(fired.withColumnsRenamed(names), [F.col(t) == F.col(names[t]), *same])
+    return joined.drop(*names.values())
