@@ -108,7 +108,97 @@ QUERIES = {
     )
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 ORACLES = {
+    "op11_turn_repair": r"""
+        WITH RECURSIVE drawn AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+            FROM conversations),
+        checked AS (
+            SELECT *, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda ch: ascii(ch)::BIGINT)),
+                lambda c, b: list_reduce(
+                    [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+                ), 4294967295) % 20 AS draw
+            FROM drawn),
+        damaged AS (
+            SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE draw WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM checked),
+        numbered AS (
+            SELECT *, row_number() OVER w AS i, lag(role) OVER w AS role_before,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+            FROM damaged
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        faulty AS (
+            SELECT *, bare = '' AS blank, bare <> '' AND seen > 1 AS duplicate,
+                   bare <> '' AND seen = 1 AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated, left(role, 1) AS own,
+                   i > 1 AND left(role_before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+            FROM numbered),
+        inserts(q, q2, cost, audit, lines) AS (VALUES
+            (0, 0, 0, '', []::VARCHAR[]), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+            (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+            (2, 2, 0, '', []), (2, 3, 5, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])),
+        arcs(q, q2, letter, own, cost) AS (VALUES
+            (0, 0, 'D', NULL, 2), (1, 1, 'D', NULL, 2), (2, 2, 'D', NULL, 2), (3, 3, 'D', NULL, 2),
+            (0, 2, 'R', NULL, 1), (1, 2, 'R', NULL, 1), (2, 3, 'R', NULL, 1), (3, 2, 'R', NULL, 1),
+            (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0), (3, 2, 'K', 'u', 0)),
+        walk(conv_id, i, q, best) AS (
+            SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} FROM faulty
+            UNION ALL
+            SELECT w.conv_id, w.i + 1, a.q2, min({
+                'cost': w.best.cost + n.cost + a.cost + CASE WHEN a.letter <> 'D' AND f.truncated THEN 5 ELSE 0 END,
+                'audit': w.best.audit || n.audit || a.letter,
+                'lines': list_concat(list_concat(w.best.lines, n.lines), CASE a.letter WHEN 'D' THEN []
+                    WHEN 'K' THEN [f.role || ':' || f.text]
+                    ELSE [CASE a.q2 WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text] END)})
+            FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+            JOIN inserts n ON n.q = w.q
+            JOIN arcs a ON a.q = n.q2 AND (a.own IS NULL OR a.own = f.own)
+                AND (a.letter = 'D' OR NOT (f.blank OR f.duplicate))
+            GROUP BY w.conv_id, w.i, a.q2),
+        faults AS (
+            SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+                   count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+            FROM faulty GROUP BY conv_id),
+        ends AS (
+            SELECT w.conv_id, min({'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.audit,
+                                   'lines': list_concat(w.best.lines, n.lines)}) AS best
+            FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i
+            JOIN inserts n ON n.q = w.q AND n.q2 IN (0, 3) GROUP BY w.conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
+    "op12_dual_tree": f"""
+        WITH terms_of AS (SELECT row_number() OVER () AS place, doc_id, {_TERMS} AS terms FROM documents),
+        known AS (SELECT * FROM terms_of WHERE len(terms) > 0),
+        totals AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM known),
+        counts AS (
+            SELECT place, doc_id, n, term, count(*) AS tf
+            FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM known) GROUP BY ALL),
+        held AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+        asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        weights AS (
+            SELECT item_id, term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM asked JOIN held USING (term), totals),
+        scores AS (
+            SELECT item_id, place, doc_id, sum(
+                w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM counts JOIN weights USING (term), totals GROUP BY ALL),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
     "op7_subspace_join": """
         WITH RECURSIVE vectors AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from signalwatch.llm import secret_scan
 from signalwatch.llm.secret_scan import BASE, MORE, Rule
@@ -74,3 +75,16 @@ def test_empty_table_and_own_rules(docs):
     only = (Rule("pin", r"pin=(\d+)", 4, 1),)
     assert run(docs((1, "pin=123 pin=1234"), (2, "")), base=only, more=()) == [(1, [(8, 0, "pin", 16)]), (2, [])]
     assert secret_scan.as_text is not None
+
+
+def test_long_runs_take_linear_time(docs):
+    """Runs that make an expression try again at each place, or give back what it has read."""
+    n = 400_000
+    runs = [
+        "://" + "a1" * n, "a1" * n + "://" + "b" * n, "x://" * n, "x://a:" * n, "eyJ" * n, "eyJabcdefgh." + "eyJ" * n, "token" + " " * n,
+        "token " * n, "-----BEGIN " + "A" * n, "-----BEGIN PRIVATE " * (n // 8), "xoxb-" + "-" * n, "ghp_" * n, "AKIA" * n, "f" * n, "passwd=" * n,
+    ]
+    start = time.perf_counter()
+    got = run(docs(*enumerate(runs)))
+    assert time.perf_counter() - start < 120
+    assert got == [(i, brute(text)) for i, text in sorted(enumerate(runs), key=lambda r: repr((r[0], brute(r[1]))))]

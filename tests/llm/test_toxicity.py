@@ -86,3 +86,39 @@ def test_rare_terms_that_stand_out_only_beside_another(spark, docs):
             scores.setdefault(kinds[r.doc_id], []).append(r.score)
     means = {k: np.mean(v) for k, v in scores.items()}
     assert means["both"] > 0.7 and means["insult"] < 0.3 and means["group"] < 0.1 and means["slur"] > 0.9, means
+
+
+def test_fit_equals_plain_loops():
+    """Adagrad on the logistic loss of all pairs, written out term by term."""
+    draw = np.random.default_rng(1)
+    held = [sorted(draw.choice(5, draw.integers(0, 5), replace=False).tolist()) for _ in range(12)]
+    y, n, m, decay, rate = draw.integers(0, 2, 12).astype(float), 12, 5, 1e-5, 0.5
+    y[:2] = 0, 1
+    row = np.repeat(np.arange(n), [len(h) for h in held])
+    model = toxicity.fit_pairs(y, row, np.array([t for h in held for t in h]), np.arange(m), rounds=40)
+    k = toxicity.FACTORS
+    v, w, b = np.random.default_rng(7).normal(0, 0.05, (m, k)), np.zeros(m), np.log(y.mean() / (1 - y.mean()))
+    g_b, g_w, g_v = 1e-8, np.full(m, 1e-8), np.full((m, k), 1e-8)
+    for _ in range(40):
+        d_b, d_w, d_v = 0.0, np.zeros(m), np.zeros((m, k))
+        for i, terms in enumerate(held):
+            z = b + sum(w[t] for t in terms) + sum(v[s] @ v[t] for s in terms for t in terms if s < t)
+            error = (1 / (1 + np.exp(-z)) - y[i]) / n
+            d_b += error
+            for t in terms:
+                d_w[t] += error
+                d_v[t] += error * sum((v[s] for s in terms if s != t), np.zeros(k))
+        d_w, d_v = d_w + decay * w / n, d_v + decay * v
+        g_b, g_w, g_v = g_b + d_b**2, g_w + d_w**2, g_v + d_v**2
+        b, w, v = b - rate * d_b / np.sqrt(g_b), w - rate * d_w / np.sqrt(g_w), v - 0.2 * rate * d_v / np.sqrt(g_v)
+    assert abs(model.bias - b) < 1e-9 and np.allclose(model.weights, w, atol=1e-9) and np.allclose(model.factors, v, atol=1e-9)
+
+
+def test_pieces_of_runs_give_the_same_sums(monkeypatch):
+    draw = np.random.default_rng(3)
+    owner = np.sort(draw.integers(0, 40, 500))
+    member, values = draw.integers(0, 30, 500), draw.normal(size=30)
+    want = np.bincount(owner, values[member], 45)
+    for cells in (1, 7, 10000):
+        monkeypatch.setattr(toxicity, "CELLS", cells)
+        assert np.allclose(toxicity._runs(owner, member, 45)(values), want)
