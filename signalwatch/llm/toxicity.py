@@ -122,16 +122,18 @@ class Model:
 
 
 def fit_pairs(y: np.ndarray, row: np.ndarray, term: np.ndarray, buckets: np.ndarray, rounds: int = 500, rate: float = 0.5, decay: float = 1e-5) -> Model:
-    """Full-batch Adagrad on the logistic loss of a factorization machine."""
+    """Full-batch Adagrad on the logistic loss of a factorization machine; ``row`` ascends."""
     n, m = len(y), len(buckets)
     share = y.mean() if n else 0.0
     if not 0 < share < 1:
         return Model(buckets[:0], 30.0 * (2 * share - 1), np.zeros(0), np.zeros((0, FACTORS)))
     v = (np.random.default_rng(7).normal(0, 0.05, (m, FACTORS))) if m else np.zeros((0, FACTORS))
     model = Model(buckets, float(np.log(share / (1 - share))), np.zeros(m), v)
-    # sums over a document's terms, and over a term's documents, as sums of runs
-    by_row, by_term = np.argsort(row, kind="stable"), np.argsort(term, kind="stable")
-    of_rows, of_terms = _runs(row[by_row], term[by_row], n), _runs(term[by_term], row[by_term], m)
+    # sums over a document's terms, and over a term's documents, as sums of runs; 32 bits name a cell
+    row, term = row.astype(np.int32), term.astype(np.int32)
+    by_term = np.argsort(term, kind="stable").astype(np.int32)
+    of_rows, of_terms = _runs(row, term, n), _runs(term[by_term], row[by_term], m)
+    del row, term, by_term
     factors = np.ascontiguousarray(model.factors.T)
     g_b, g_w, g_v = 1e-8, np.full(m, 1e-8), np.full((FACTORS, m), 1e-8)
     for _ in range(rounds):
@@ -155,14 +157,24 @@ def fit_pairs(y: np.ndarray, row: np.ndarray, term: np.ndarray, buckets: np.ndar
     return model
 
 
+#: Cells that are summed at once.
+CELLS = 1 << 18
+
+
 def _runs(owner: np.ndarray, member: np.ndarray, n: int):
-    """A function from members' values to each owner's sum; owners ascend."""
+    """A function from members' values to each owner's sum; owners ascend. A piece of whole runs is summed at a time."""
     has, starts = np.unique(owner, return_index=True)
+    pieces, first = [], 0
+    while first < len(has):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + CELLS)))
+        end = starts[last] if last < len(has) else len(member)
+        pieces.append((has[first:last], member[starts[first] : end], starts[first:last] - starts[first]))
+        first = last
 
     def sums(values: np.ndarray) -> np.ndarray:
         out = np.zeros(n)
-        if len(has):
-            out[has] = np.add.reduceat(values[member], starts)
+        for own, cells, begins in pieces:
+            out[own] = np.add.reduceat(values[cells], begins)
         return out
 
     return sums
@@ -204,28 +216,58 @@ class Beside:
         self.share = np.minimum(1.0, np.bincount(self.terms, owners, self.n_terms) / np.maximum(self.n, 1))
 
 
+def _packed(sample: DataFrame, kept: np.ndarray) -> pa.Table:
+    """(id, toxic, held) of at most max_rows rows: ``held`` are a row's kept buckets in ascending order, as bytes."""
+    known = sample.sparkSession.sparkContext.broadcast(kept)
+
+    def of(own: np.ndarray) -> bytes:  # a row's buckets ascend
+        if not len(known.value):
+            return b""
+        at = np.minimum(np.searchsorted(known.value, own), len(known.value) - 1)
+        return own[known.value[at] == own].astype(">i4").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [of(own.values.to_numpy()) for own in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(held, pa.binary())], names=["id", "toxic", "held"])
+
+    return sample.select("id", "toxic", "buckets").mapInArrow(run, "id long, toxic int, held binary").toArrow()
+
+
+def _cells(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all rows, and where each row's end."""
+    ends = np.cumsum([0, *(len(b) // 4 for b in held)])
+    return np.frombuffer(b"".join(held), ">i4").astype(np.int32), ends
+
+
 def _beside(sample: DataFrame, kept: list[int]) -> list[int]:
     """The buckets that stand out beside one of the kept ones."""
     if not kept:
         return []
-    wanted = F.array(*map(F.lit, kept))
-    rows = sorted((r[0], r[1], r[2]) for r in sample.select("id", "toxic", F.array_intersect("buckets", wanted)).collect())  # max_rows rows
-    terms_ = np.concatenate([np.array(b, np.int64) for _, _, b in rows])
-    ends = np.cumsum([0, *(len(b) for _, _, b in rows)])
-    beside = Beside(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float), ends, np.searchsorted(kept, terms_), len(kept))
-    known = sample.sparkSession.sparkContext.broadcast(beside)
+    known_buckets = np.array(kept, np.int32)
+    rows = _packed(sample, known_buckets).sort_by("id")
+    cells, ends = _cells(rows["held"].to_pylist())
+    beside = Beside(
+        rows["id"].to_numpy(), rows["toxic"].to_numpy().astype(float), ends,
+        np.searchsorted(known_buckets, cells).astype(np.int32), len(kept),
+    )
+    del rows, cells
+    known = sample.sparkSession.sparkContext.broadcast((beside, known_buckets))
+    del beside
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others, own = known.value
         for batch in batches:
-            chances = [known.value.chance(ids.values.to_numpy()) for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chances, pa.float64())], names=["bucket", "chance"])
+            chances = [others.chance(ids.values.to_numpy()) for ids in batch.column(1)]
+            is_kept = pa.array(np.isin(batch.column(0).to_numpy(), own))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chances, pa.float64()), is_kept], names=["bucket", "chance", "is_kept"])
 
     # a bucket has max_rows ids at most
     owners = sample.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.collect_list("id").alias("ids"))
     owners = owners.where(F.size("ids") >= MIN_DOCS)
-    chances = owners.mapInArrow(run, "bucket int, chance double").persist()
+    chances = owners.mapInArrow(run, "bucket int, chance double, is_kept boolean").persist()
     try:
-        tried = chances.where(~F.col("bucket").isin(kept)).where("chance < 1")
+        tried = chances.where("not is_kept and chance < 1")
         n = chances.count()
         best = tried.where(F.col("chance") <= FALSE_TERMS).orderBy("chance", "bucket").limit(MAX_TERMS).collect()
     finally:
@@ -266,16 +308,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         terms_ = with_term.where(F.col("n") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z)
         kept = sorted(r[0] for r in terms_.orderBy(F.desc("z"), "bucket").limit(MAX_TERMS).select("bucket").collect())
         kept = sorted(kept + _beside(sample, kept))
-        wanted = F.array(*map(F.lit, kept)) if kept else F.array().cast("array<int>")
-        data = sample.select("toxic", F.array_intersect("buckets", wanted).alias("b")).collect()  # max_rows rows
+        buckets = np.array(kept, np.int64)
+        table_ = _packed(sample, buckets.astype(np.int32))  # max_rows rows
     finally:
         sample.unpersist()
-    buckets = np.array(kept, np.int64)
-    data = sorted((r[0], sorted(r[1])) for r in data)
+    # an order that doesn't depend on how the rows were dealt
+    data = sorted(zip(table_["toxic"].to_pylist(), table_["held"].to_pylist(), strict=True))
+    del table_
     y = np.array([t for t, _ in data], float)
-    row = np.repeat(np.arange(len(data)), [len(b) for _, b in data]) if data else np.zeros(0, np.int64)
-    term = np.searchsorted(buckets, np.concatenate([np.array(b, np.int64) for _, b in data])) if data else row
-    return fit_pairs(y, row, term.astype(np.int64), buckets)
+    cells, ends = _cells([held for _, held in data])
+    del data
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(ends))
+    return fit_pairs(y, row, np.searchsorted(buckets, cells).astype(np.int32), buckets)
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
