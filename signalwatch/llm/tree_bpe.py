@@ -33,8 +33,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from signalwatch.llm.common import col, fresh, slices
 
-#: Characters of a text's leaf, bytes of a match's leaf.
-LEAF, WORD_LEAF = 4096, 48
+#: Characters of a text's leaf, bytes of a match's leaf, bytes of a window that is merged part by part.
+LEAF, WORD_LEAF, SMALL = 4096, 8, 192
 #: Characters beyond its end that a match may have looked at, in patterns like the tokenizers' own.
 LOOK = 2
 #: Bytes of text that are encoded at once, matches remembered, and their greatest length.
@@ -53,15 +53,24 @@ class Encoder:
         self.leaf, self.word_leaf = max(leaf, 1), max(word_leaf, 1)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
-        self.known = _Known(self)
+        self.known, self.merged = _Known(self), {}
         self.joins = 0
 
     # -- within a match --------------------------------------------------------------------------
 
     def merge(self, word: bytes) -> list[int]:
-        """All merges of a word: the lowest rank first, from the left."""
-        if len(word) > 4 * WORD_LEAF:
-            return self._merge_queued(word)
+        """All merges of a leaf or window; those of some bytes are remembered, as they come again in other words."""
+        if len(word) > 16:
+            return self._merge_listed(word) if len(word) <= SMALL else self._merge_queued(word)
+        ids = self.merged.get(word)
+        if ids is None:
+            if len(self.merged) >= REMEMBERED:
+                self.merged.clear()
+            ids = self.merged[word] = self._merge_listed(word)
+        return ids
+
+    def _merge_listed(self, word: bytes) -> list[int]:
+        """The lowest rank first, from the left."""
         rank = self.ranks.get
         parts = [word[i : i + 1] for i in range(len(word))]
         pairs = [rank(word[i : i + 2], NONE) for i in range(len(word) - 1)]
