@@ -392,6 +392,27 @@ def format_volume_alert(
     )
 
 
+def volume_alert_lines(
+    hot: DataFrame, threshold: int = VOLUME_THRESHOLD, minutes: int = 5, value: str = "event_count",
+) -> DataFrame:
+    """``format_volume_alert`` line by line: (window_end, line, text), however many regions a window has.
+
+    Lines 1 to 4 are the head, then the regions, busiest first.
+    """
+    head = [
+        F.lit(VOLUME_TITLE), _time_line("window_end"), F.lit(VOLUME_THRESHOLD_LINE % (threshold, minutes)),
+        F.lit(VOLUME_REGIONS_TITLE),
+    ]
+    heads = hot.select("window_end").distinct().select(
+        "window_end", F.posexplode(F.array(*head)).alias("line", "text")
+    ).withColumn("line", F.col("line") + 1)
+    order = Window.partitionBy("window_end").orderBy(F.desc(value), "region")
+    regions = hot.withColumn("line", F.row_number().over(order) + len(head)).select(
+        "window_end", "line", F.format_string(VOLUME_REGION_LINE, "region", value, F.lit(minutes)).alias("text")
+    )
+    return heads.unionByName(regions)
+
+
 def format_share_alert(
     shares: DataFrame, threshold: float = SEVERE_SHARE_THRESHOLD, t: str = "window_end"
 ) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType, TimestampNTZType, TimestampType
 
 from signalwatch.operators.projections import not_null, ordered, top_k, with_abs_error
+from signalwatch.session import session_conf
 
 
 def anomaly_strength(df: DataFrame, t: str, width: str) -> DataFrame:
@@ -60,3 +65,47 @@ def table_freshness(tables: dict[str, DataFrame], ts_col: str = "last_updated")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+def freshness_from_footers(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> DataFrame:
+    """``table_freshness`` of Parquet tables, ``{name: (path, time column)}``, without reading their rows.
+
+    Counts and newest times are pushed down to the files' footers.  Footers hold times as numbers, so the time column is
+    asked for as the number it is stored as; files that store it otherwise (as 96 bits, as Spark writes times
+    by default, or in nested tables) have that one column scanned.  A row per table comes to the driver.
+    """
+    rows = [(name, *_newest(spark, path, t)) for name, (path, t) in tables.items()]
+    found = spark.createDataFrame(rows, "table_name string, newest bigint, row_count bigint")
+    return found.withColumn("newest", F.timestamp_micros("newest"))
+
+
+FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def _pushed(spark: SparkSession, path: str, t: str) -> DataFrame:
+    """The newest time, in microseconds, and the number of rows, for a plan with aggregate push-down."""
+    fields = spark.read.parquet(path).schema.fields
+    stored_as = {TimestampType: LongType(), TimestampNTZType: LongType()}
+    schema = StructType([
+        StructField(f.name, stored_as.get(type(f.dataType), f.dataType) if f.name == t else f.dataType) for f in fields
+    ])
+    return spark.read.schema(schema).parquet(path).agg(F.max(t).alias("newest"), F.count("*").alias("rows"))
+
+
+def _newest(spark: SparkSession, path: str, t: str) -> tuple[int | None, int]:
+    nested = any(isinstance(f.dataType, (StructType, ArrayType, MapType)) for f in spark.read.parquet(path).schema.fields)
+    if not nested:
+        try:
+            with session_conf(spark, FOOTERS):
+                newest, rows = _pushed(spark, path, t).first()
+            return _micros(newest), rows
+        except (PySparkException, Py4JJavaError):
+            pass  # the footers don't have it
+    at = F.unix_micros(F.max(F.col(t).cast("timestamp")))
+    return tuple(spark.read.parquet(path).agg(at, F.count("*")).first())
+
+
+def _micros(value: int | date | None) -> int | None:
+    if isinstance(value, date):
+        return (value - date(1970, 1, 1)).days * 86_400_000_000
+    return value

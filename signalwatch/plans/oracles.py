@@ -778,6 +778,20 @@ from hourly_region""",
     "stream_cooldown": f"""{_FIRED_REGIONS}
 select v.region, v.window_end, v.event_count
 from volume v join fired f on f.k = v.region and f.t = v.window_end""",
+    "alert_lines": """
+select window_end, cast(line as int) as line, text from (
+  select distinct window_end, unnest([1, 2, 3, 4]) as line,
+    unnest(['Volume alert: many reports', 'Time: ' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00',
+      'Threshold: 100 reports in 1440 minutes', 'Regions:']) as text
+  from volume
+  union all
+  select window_end, 4 + row_number() over (partition by window_end order by event_count desc, region),
+    '- ' || region || ': ' || event_count || ' reports in 1440 minutes'
+  from volume)""",
+    "freshness_from_footers": """
+select 'events' as table_name, max(ts) as newest, count(*) as row_count from events
+union all
+select 'orders', max(o_orderdate), count(*) from orders""",
     "archive_in_files": """
 select event_type, count(*) as row_count, true as few_files from raw
 where event_type in ('symptom_report', 'clinic_visit', 'environmental_conditions') group by 1""",

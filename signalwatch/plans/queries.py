@@ -583,6 +583,13 @@ def alert_messages_basic(spark, sf_dir):
     return volume.unionByName(share)
 
 
+@query
+def alert_lines(spark, sf_dir):
+    hourly = _hourly_table(spark, sf_dir)
+    windows = timeseries.sliding_counts(hourly, "bucket", "24 hours", "1 hour", ["region"], "event_count")
+    return alerts.volume_alert_lines(alerts.volume_alerts(windows, 100), 100, 1440)
+
+
 @query
 def alert_multi_metric(spark, sf_dir):
     known = projections.not_null(_symptoms(spark, sf_dir), ["region"])
@@ -931,6 +938,13 @@ def orders_rolling_week(spark, sf_dir):
     )
 
 
+@query
+def freshness_from_footers(spark, sf_dir):
+    return monitoring.freshness_from_footers(
+        spark, {"events": (A.table_path(sf_dir, "events"), "ts"), "orders": (A.table_path(sf_dir, "orders"), "o_orderdate")}
+    )
+
+
 # -- streams -------------------------------------------------------------------------------------
 
 

@@ -81,3 +81,26 @@ def test_aggregates_combine_before_the_shuffle(spark):
 def test_top_k_is_taken_per_partition_first(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "top10_regions")
     assert "WindowGroupLimit" in _plan(spark, "alert_top_regions")
+
+
+def test_freshness_comes_from_footers(spark, tmp_path):
+    from signalwatch.operators import monitoring
+    from signalwatch.session import session_conf
+
+    table = spark.createDataFrame(
+        [("a", "2024-01-01 00:00:01.5", "2024-02-01", 3), ("b", "2024-03-01 12:00:00", "2024-01-01", 1), (None, None, None, None)],
+        "k string, t string, d string, n int",
+    ).selectExpr("k", "cast(t as timestamp) as t", "cast(d as date) as d", "cast(t as timestamp_ntz) as z", "n")
+    paths = {}
+    for kind in ("TIMESTAMP_MICROS", "INT96"):
+        paths[kind] = str(tmp_path / kind)
+        with session_conf(spark, {"spark.sql.parquet.outputTimestampType": kind}):
+            table.write.parquet(paths[kind])
+    with session_conf(spark, monitoring.FOOTERS):
+        for column in ("t", "d", "z"):
+            plan = monitoring._pushed(spark, paths["TIMESTAMP_MICROS"], column)._jdf.queryExecution().executedPlan().toString()
+            assert f"PushedAggregation: [MAX({column}), COUNT(*)]" in plan
+    asked = {"t": (paths["TIMESTAMP_MICROS"], "t"), "d": (paths["TIMESTAMP_MICROS"], "d"), "z": (paths["INT96"], "z"), "old": (paths["INT96"], "t")}
+    got = {r.table_name: (str(r.newest), r.row_count) for r in monitoring.freshness_from_footers(spark, asked).collect()}
+    noon = ("2024-03-01 12:00:00", 3)
+    assert got == {"t": noon, "d": ("2024-02-01 00:00:00", 3), "z": noon, "old": noon}
