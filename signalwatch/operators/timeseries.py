@@ -98,20 +98,20 @@ def session_counts(
     at_edge = (F.col("session_start") <= F.col("_from") + length) | (
         F.col("session_end") >= F.col("_from") + F.expr(f"interval {width} seconds")
     )
-    # one or two rows per key and block
-    in_key = Window.partitionBy(*by).orderBy("session_start")
-    starts = F.coalesce(F.col("session_start") > F.lag("session_end").over(in_key), F.lit(True))
-    runs = (
-        parts.where(at_edge).withColumn("_new", starts.cast("int"))
-        .withColumn("_run", F.sum("_new").over(in_key.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*by, "_run")
+    # a session inside its block is whole; those at edges, one or two per key and block, are walked per key
+    placed = parts.withColumn("_edge", at_edge).withColumn("_inside", F.when(~at_edge, F.col("_from")))
+    walk = Window.partitionBy(*by, "_edge", "_inside").orderBy("session_start")
+    starts = F.coalesce(~F.col("_edge") | (F.col("session_start") > F.lag("session_end").over(walk)), F.lit(True))
+    run = F.sum("_new").over(walk.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        placed.withColumn("_new", starts.cast("int")).withColumn("_run", run)
+        .groupBy(*by, "_edge", "_inside", "_run")
         .agg(
             F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
             F.sum("event_count").alias("event_count"),
         )
-        .drop("_run")
+        .drop("_edge", "_inside", "_run")
     )
-    return parts.where(~at_edge).drop("_from").unionByName(runs)
 
 
 def sliding_counts(

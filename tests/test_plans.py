@@ -47,6 +47,8 @@ def _scans(plan):
 
 # Queries that read the events once per table they join or compare.
 SEVERAL = {
+    # reports and readings are two views of the events
+    "range_join": 2,
     "alert_multi_metric": 2, "table_freshness": 3, "anomaly_overlay": 2, "enrich_events": 3, "forecast_metrics": 2,
     # the newest time is looked up first, from the time column alone
     "lookback_region_events": 2, "lookback_severity_share": 2,
