@@ -127,11 +127,15 @@ def _successors(ids: DataFrame) -> DataFrame:
     return stored(out, "simhash-next")
 
 
-def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) per row."""
+def fingerprint_edits(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near) per row.
+
+    ``n_near`` counts the other fingerprints within ``radius`` of a row's, for doc_ids divisible by ``every``; null for
+    the rest. Rows are told apart by 128 bits of a hash of doc_id and text.
+    """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2("text", 256))
-    rows = rows.withColumn("row", row)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.sha2("text", 256))
+    rows = rows.withColumn("row", F.unhex(F.left(F.sha2(name, 256), F.lit(32))))
     ids = rows.groupBy("row", "doc_id").agg(
         F.max(F.length("text")).cast("long").alias("n_chars"), F.count("*").alias("times")
     )
@@ -153,11 +157,15 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     out = ids.join(own, "row").join(changed, F.col("row") == F.col("e_row"))
     out = out.join(order.select(F.col("row").alias("o_row"), "next_row"), F.col("row") == F.col("o_row"))
     out = out.join(following, F.col("next_row") == F.col("n_row"))
+    asked = own.join(ids.where(F.col("doc_id") % every == 0).select("row"), "row", "left_semi")
+    near = near_fingerprints(own, radius, asked).groupBy("a1", "a2").agg(F.count("*").alias("found"))
+    out = out.join(near, (F.col("f1") == F.col("a1")) & (F.col("f2") == F.col("a2")), "left")
+    out = out.withColumn("n_near", F.when(F.col("doc_id") % every == 0, F.coalesce("found", F.lit(0)).cast("long")))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     c = F.col
     return out.select(
         "doc_id", "n_chars", "edited_sha256",
         as_hex(c("f1"), c("f2")).alias("fingerprint"), as_hex(c("e1"), c("e2")).alias("edited_fingerprint"),
         likeness(c("f1"), c("f2"), c("e1"), c("e2")).alias("near_edited"),
-        likeness(c("f1"), c("f2"), c("n1"), c("n2")).alias("near_next"),
+        likeness(c("f1"), c("f2"), c("n1"), c("n2")).alias("near_next"), "n_near",
     )

@@ -75,3 +75,20 @@ def test_near_fingerprints_finds_all_within_the_radius(spark):
     some = simhash.near_fingerprints(df, 3, asked).count()
     keys = {whole(r.f1, r.f2) for r in asked.collect()}
     assert some == sum(1 for a in keys for b in distinct if a != b and (a[0] ^ b[0]).bit_count() + (a[1] ^ b[1]).bit_count() <= 3)
+
+
+def test_the_search_within_the_radius_is_part_of_the_result(docs):
+    draw = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "iota", "kappa"]
+    texts = [" ".join(draw.choices(words, k=60)) for _ in range(30)]
+    texts += [texts[i] + " " + draw.choice(words) for i in range(15)] + texts[:5] + ["", ""]
+    rows = list(enumerate(texts))
+    found = {r.doc_id: r for r in simhash.fingerprint_edits(docs(*rows, (None, "x y")), radius=12, every=3).collect()}
+    marks = {int(r.fingerprint, 16) for r in found.values()}
+    for doc_id, row in found.items():
+        if doc_id is None or doc_id % 3:
+            assert row.n_near is None
+        else:
+            own = int(row.fingerprint, 16)
+            assert row.n_near == sum(1 for m in marks if m != own and (m ^ own).bit_count() <= 12)
+    assert sum(r.n_near or 0 for r in found.values()) > 0

@@ -139,13 +139,13 @@ def test_brute_forces_agree():
         assert every_edit(rows, faults(rows)) == cheapest(rows, faults(rows))
 
 
-@pytest.mark.parametrize(("bits", "fan"), [(12, 10), (2, 1), (0, 1)])
+@pytest.mark.parametrize(("bits", "fan"), [(12, 10), (1, 1)])
 def test_equals_brute_force(spark, monkeypatch, bits, fan):
     """Blocks of any size: with the smallest, conversations are many blocks and the tree has several levels."""
     monkeypatch.setattr(turn_repair, "BLOCK_BITS", bits)
     monkeypatch.setattr(turn_repair, "FAN_BITS", fan)
     draw = random.Random(bits)
-    sizes = [0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 15, 20, 30, 45] + ([200] if bits == 12 else [])
+    sizes = [0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 15, 20] + ([45, 200] if bits == 12 else [])
     rows = list(itertools.chain.from_iterable(random_rows(draw, i, n) for i, n in enumerate(sizes)))
     rows += random_rows(draw, None, 6)
     df = spark.createDataFrame(rows, CONVERSATIONS).repartition(3)
