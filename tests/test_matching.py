@@ -58,6 +58,31 @@ def test_range_join_spreads_a_hot_key_and_rejects_shared_names(spark):
         matching.range_join(left, right.withColumnRenamed("r", "T"), "t", "T", ["k"], "5 seconds")
 
 
+def test_range_join_compares_few_rows_that_do_not_meet(spark):
+    """No pair is compared by calendar arithmetic, small sides are dealt too, and most pairs of a block meet."""
+    left = spark.range(100).select(F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") % 7200).alias("t"))
+    right = spark.range(100).select(F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") % 7200).alias("r"))
+    plan = matching.range_join(left, right, "t", "r", ["k"], "30 minutes")._jdf.queryExecution().sparkPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join" in line)
+    assert "SortMergeJoin" in join
+    assert "INTERVAL" not in join
+    assert "450000000" in plan  # blocks of a quarter of the range
+
+
+def test_range_join_rounds_before_the_join(spark, tmp_path):
+    import __spark_entry__
+    from signalwatch.adapters import EVENTS_SCHEMA
+
+    events = [(i, T0 + timedelta(minutes=i), 0, "error" if i % 2 else "view", -0.12345678 * i, "{}") for i in range(1, 9)]
+    spark.createDataFrame(events, EVENTS_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    joined = __spark_entry__.queries()["range_join"](spark, str(tmp_path))
+    assert [round(v, 6) for (v,) in joined.where("event_id = '2'").select("temperature_f").collect()] == [-0.123457]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan[: plan.index("Join")]
+    assert "round(" in plan
+    assert joined.schema["temperature_f"].metadata == {}
+
+
 @pytest.mark.parametrize(("block", "within"), [("10 seconds", None), ("1 day", None), ("100 seconds", 40)])
 def test_asof_join_equals_a_walk(spark, rows, block, within):
     left, right = _random(3, 80)
