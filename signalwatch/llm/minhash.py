@@ -13,9 +13,10 @@ Documents with equal sets form a class, of which one stands for all. The centre
 others, over all its buckets; a class's family is the centre that it shares most buckets with. Links are looked for
 (1) between each class and its family's centre; (2) between the members of a family outside its main component
 and all members, by tiles of the family, as one product of incidence matrices per pair of tiles, which
-returns a star per connected part and no pairs; (3) between classes of different families that share a bucket. Components
-are formed after each step, and only pairs of different components are compared in the next, so no link between
-components is lost and a group of n near copies costs about n comparisons. All compare the full sets.
+returns a star per connected part and no pairs; (3) between classes of different families that share a bucket: pairs
+in buckets of up to ``PAIRED`` members, tiles as in (2) in larger ones. Components are formed after (1) and (2), and
+only classes of different components are compared in the next step, so no link between components is lost and a
+group of n near copies costs about n comparisons. All compare the full sets.
 
 Null texts have the empty set. Rows that share a doc_id are one node, linked through any of their texts. A null doc_id
 is never the smallest; a row that reaches no other id has its own as component. Repeated rows all stay.
@@ -36,6 +37,7 @@ SHINGLE = 5
 ROWS, BANDS = 4, 40
 T = ROWS * BANDS
 SIMILARITY = 75
+PAIRED = 16  # members of a bucket that are compared as rows of pairs; larger buckets are compared by tiles
 LAST = 2**63 - 1
 
 SALTS = seeds(256, 7000)
@@ -187,9 +189,12 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int
     return out.astype(np.int64)
 
 
-def _family_links(families: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """(a, b) links between the members outside a family's main part and all its members, as stars."""
-    parts = families.groupBy("family", "part").agg(F.count("*").alias("m"))
+def _group_links(groups: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b) links between the members outside a group's main part and all its members, as stars.
+
+    Rows are (family, cls, part); a group is a family or a large bucket.
+    """
+    parts = groups.groupBy("family", "part").agg(F.count("*").alias("m"))
     open_ = parts.groupBy("family").agg(
         F.max(F.struct("m", "part")).alias("main"), F.sum("m").alias("all"), F.count("*").alias("parts")
     ).where("parts > 1")
@@ -199,8 +204,8 @@ def _family_links(families: DataFrame, sets: DataFrame, similarity: int) -> Data
         "family", F.col("main.part").alias("main"),
         F.ceil(F.col("all") / tile).cast("int").alias("tiles"),
         F.ceil((F.col("all") - F.col("main.m")) / tile).cast("int").alias("out_tiles"),
-    ), "minhash-families")
-    rows = families.join(open_, "family")
+    ), "minhash-groups-open")
+    rows = groups.join(open_, "family")
     own, other = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("tiles")), F.pmod(F.xxhash64("cls", F.lit(2)), F.col("out_tiles"))
     left = rows.select("cls", "part", "family", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("out_tiles") - 1)).alias("j"), F.lit(0).alias("side"))
     right = rows.where("part <> main").select(
@@ -260,14 +265,19 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         labels = components(links, name).withColumnRenamed("node", "cls")
         return frame.join(labels, "cls", "left").withColumn("part", F.coalesce("component", "cls")).drop("component")
 
-    found = _family_links(with_parts(family, known, "minhash-parts"), sets, similarity)
+    found = _group_links(with_parts(family, known, "minhash-parts"), sets, similarity)
     known = stored(known.unionByName(found), "minhash-known")
 
     placed = with_parts(members.select("bucket", "cls", "n"), known, "minhash-parts").join(family, "cls")
     parts = placed.groupBy("bucket", "part").agg(F.count("*").alias("m"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("m", "part")).alias("main"), F.count("*").alias("parts"))
-    main = main.where("parts > 1").select("bucket", F.col("main.part").alias("main"))
+    main = parts.groupBy("bucket").agg(
+        F.max(F.struct("m", "part")).alias("main"), F.count("*").alias("parts"), F.sum("m").alias("all")
+    )
+    main = main.where("parts > 1").select("bucket", F.col("main.part").alias("main"), "all")
     open_ = stored(placed.join(main, "bucket"), "minhash-open")
+    large = open_.where(F.col("all") > PAIRED).select(F.col("bucket").alias("family"), "cls", "part")
+    met = _group_links(large, sets, similarity)
+    open_ = open_.where(F.col("all") <= PAIRED)
     minor = open_.where("part <> main").select(
         "bucket", F.col("cls").alias("x"), F.col("n").alias("n_x"), F.col("part").alias("part_x"), F.col("family").alias("family_x")
     )
@@ -280,7 +290,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     pairs = pairs.select(F.greatest("x", "cls").alias("a"), F.least("x", "cls").alias("b")).distinct()
     more = confirmed(pairs, sets, similarity)
 
-    groups = components(known.unionByName(more), "minhash-groups").withColumnRenamed("node", "cls")
+    groups = components(known.unionByName(met).unionByName(more), "minhash-groups").withColumnRenamed("node", "cls")
     named = classes.select("cls", "rep").join(groups, "cls")
     named = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     found = classes.select("cls", "rep").join(groups, "cls", "left").join(named, "component", "left")

@@ -123,3 +123,31 @@ def test_components(spark, seed):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {n: min(g) for n, g in groups.items() if len(g) > 1}
     assert components(df.limit(0)).count() == 0
+
+
+def test_large_buckets_make_no_pairs(docs, monkeypatch):
+    """Documents around a common passage, of many families, meet in large buckets: few are compared as rows of pairs."""
+    draw = random.Random(7)
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(i, " ".join(passage + [f"{draw.random()}" for _ in range(20 + i % 9)])) for i in range(150)]
+    # near copies that only step (3) can link if their families differ
+    rows += [(1000 + i, t + f" z{i}") for i, (_, t) in enumerate(rows[::10])]
+    pairs = []
+    confirmed = minhash.confirmed
+
+    def spy(found, *args):
+        pairs.append(found.count())
+        return confirmed(found, *args)
+
+    monkeypatch.setattr(minhash, "confirmed", spy)
+    assert run(docs(*rows)) == brute(rows)
+    assert pairs[-1] < len(rows) * minhash.PAIRED / 2
+
+
+@pytest.mark.parametrize("paired", [0, 10**9])
+def test_tiles_and_pairs_find_the_same_links(docs, monkeypatch, paired):
+    monkeypatch.setattr(minhash, "PAIRED", paired)
+    draw = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{passage} {' '.join(str(draw.randrange(40)) for _ in range(6 + i % 7))}") for i in range(60)]
+    assert run(docs(*rows)) == brute(rows)
