@@ -21,13 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows as a table in the shared folder: a cut of lineage that outlives lost executors."""
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(root: str):
+    """The pyarrow file system of a shared folder, and the folder in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of ``df`` has them (Spark ignores case)."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalwatch.llm.bpe import SLICE, encoder, load
-from signalwatch.llm.common import mix, slices, stored
+from signalwatch.llm.common import file_system, mix, slices, stored
 from signalwatch.llm.mph import PerfectHash
 from signalwatch.session import run_dir
 
@@ -35,12 +35,6 @@ SHARD_DOCS = 200_000
 NULL_KEY = np.uint64(1) << np.uint64(63)
 
 
-def _open(root: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
-
-
 def key_parts(ids: np.ndarray, null: np.ndarray, occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A key as the two numbers that the hash takes."""
     return ids.astype(np.int64).view(np.uint64), occurrence.astype(np.uint64) | np.where(null, NULL_KEY, np.uint64(0))
@@ -124,7 +118,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int | None = 0, parts: in
                 )
 
     def write(batches):
-        disk, folder = _open(root)
+        disk, folder = file_system(root)
         disk.create_dir(folder, recursive=True)
         held: list = []
         state = {"part": None, "no": 0, "bytes": 0, "last": None, "seen": 0}
@@ -190,7 +184,7 @@ def read_ids(root: str, shards: DataFrame, keys: DataFrame, digest: bool = False
     last, kind = ("ids_crc32", "long") if digest else ("ids", "array<long>")
 
     def read(rows: pd.DataFrame) -> pd.DataFrame:
-        disk, folder = _open(root)
+        disk, folder = file_system(root)
         with disk.open_input_stream(f"{folder}/{rows['file'].iloc[0]}") as file:
             shard = Shard(file.read())
         null = rows["doc_id"].isna().to_numpy()
