@@ -167,6 +167,67 @@ def test_range_join_of_streams_keeps_a_block_in_a_row(spark, rows, tmp_path):
     assert got == sorted(want, key=lambda r: [str(v) for v in r])
 
 
+@pytest.mark.parametrize(("after", "how"), [(None, "left"), ("10 seconds", "left"), ("10 seconds", "inner")])
+def test_range_join_of_streams_in_packs(spark, rows, tmp_path, after, how):
+    """The history holds a row per key and block, however many pairs come out of it; columns of any type are fine."""
+    draw = random.Random(7)
+    left = [(i, draw.choice(["a", "b", None]), draw.randrange(100)) for i in range(200)] + [(900, "c", 10), (901, "a", 5000)]
+    right = [(i, draw.choice(["a", "b", None]), draw.randrange(0, 100, 3)) for i in range(200)]
+    schema = "side string, id int, k string, t timestamp, tags map<string, int>, v double"
+    events = [(side, i, k, _at(s), {"s": s}, i / 4 if i % 5 else None) for side, held in (("l", left), ("r", right)) for i, k, s in held]
+    closing = [(side, -1, "z", _at(99999), None, None) for side in "lr"]
+
+    def build(source):
+        lefts = source.where("side = 'l'").select("id", "k", "t", "tags")
+        rights = source.where("side = 'r'").select("k", F.col("t").alias("r"), F.col("id").alias("o"), F.col("tags").alias("notes"), "v")
+        return streams.range_join_stream(lefts, rights, "t", "r", ["k"], "20 seconds", after, how, packed=True)
+
+    _deliver(spark, schema, tmp_path, [spark.createDataFrame(p, schema) for p in (events, closing)], build)
+    history = sinks.read_history(spark, str(tmp_path / "out"))
+    assert history.count() < 30
+    got = streams.open_packs(history.drop("batch_id"), how)
+    assert got.columns == ["id", "k", "t", "tags", "r", "o", "notes", "v"]
+    # left rows leave their pack outside generated code, which would hold all pairs of a pack
+    outer = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in line and "_left" in line]
+    assert outer and all("*(" not in line for line in outer if "transform(" in line)
+    assert any("transform(" in line for line in outer)
+    want, last = [], 10 if after else 0
+    for i, k, s in left:
+        met = [
+            (i, k, _at(s), s, _at(x), o, x, o / 4 if o % 5 else None)
+            for o, rk, x in right if k is not None and k == rk and s - 20 <= x <= s + last
+        ]
+        want += met or ([(i, k, _at(s), s, None, None, None, None)] if how == "left" else [])
+    got = got.where("id >= 0").withColumn("tags", F.col("tags")["s"]).withColumn("notes", F.col("notes")["s"])
+    assert rows(got) == sorted(want, key=lambda r: [str(v) for v in r])
+
+
+def test_stream_join_writes_fewer_rows_than_pairs(spark, rows, tmp_path, monkeypatch):
+    import __spark_entry__
+    from signalwatch.adapters import EVENTS_SCHEMA
+
+    written, append_sink = [], sinks.append_sink
+
+    def watched(path, *args):
+        written.append(path)
+        return append_sink(path, *args)
+
+    monkeypatch.setattr(sinks, "append_sink", watched)
+    # a region's reports and readings within ten minutes, one report far later, none of those that are delivered late
+    events = [(i, T0 + timedelta(seconds=3 * i), 4, "error" if i % 2 else "view", i + 0.12345678, "{}") for i in range(200) if i % 50 != 7]
+    events += [(300, T0 + timedelta(days=4), 4, "view", 0.5, "{}")]
+    spark.createDataFrame(events, EVENTS_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    joined = __spark_entry__.queries()["stream_join"](spark, str(tmp_path))
+    want = []
+    for i in range(0, 200, 2):
+        region = None if i % 97 == 0 else "XX" if i % 89 == 0 else "NE"
+        met = [round(j + 0.123457, 6) for j in range(1, i, 2) if j % 50 != 7] if region == "NE" else []
+        want += [(str(i), region, v) for v in met or [None]]
+    want += [("300", "NE", None)]
+    assert rows(joined, "event_id", "region", "temperature_f") == sorted(want, key=lambda r: [str(v) for v in r])
+    assert sum(sinks.read_history(spark, path).count() for path in {*written}) < 20
+
+
 def test_session_stream_merges_over_batches(spark, rows, tmp_path):
     schema = "k string, t timestamp"
     parts = [[("a", 0), ("a", 16), ("b", 5), ("a", None)], [("a", 8), ("b", 40), ("a", 300)], [("a", 3), ("z", 9999)]]
